@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -23,4 +24,6 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """No rows of a schema, in a form that the optimizer can drop from a plan."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*columns).limit(0)

@@ -119,10 +119,12 @@ class TelemetryStore:
 
     def commit(self, log: str, manifest: Manifest) -> None:
         body = {"batches": [asdict(b) for b in manifest.batches], "state": manifest.state}
-        row = [(manifest.snapshot, json.dumps(body))]
         slot = f"{self.root}/commits/{log}/slot={manifest.snapshot % SLOTS}"
-        frame = self.spark.createDataFrame(row, "snapshot long, body string")
-        frame.coalesce(1).write.mode("overwrite").json(slot)
+        row = self.spark.range(0, 1, 1, 1).select(
+            F.lit(manifest.snapshot).cast("long").alias("snapshot"),
+            F.lit(json.dumps(body)).alias("body"),
+        )
+        row.write.mode("overwrite").json(slot)
 
     # -- reading -------------------------------------------------------------
 

@@ -1,0 +1,56 @@
+"""Random loads, clocks and window lengths against the brute-force model."""
+
+import os
+import random
+from datetime import timedelta
+
+import pytest
+from model import Model, at, frame, reading, stored_control, stored_metrics
+
+from fleetmetrics.plans import jobs
+from fleetmetrics.sources.store import INGEST_LOG, REFRESH_LOG
+
+SEEDS = [int(s) for s in os.environ.get("MODEL_SEEDS", "1").split()]
+STEPS = int(os.environ.get("MODEL_STEPS", "7"))
+
+# Minutes from the clock to the event: prompt, late, very late, and ahead.
+LAGS = [(0, 3), (0, 3), (0, 30), (60, 600), (1200, 1700), (2000, 6000), (-4, 0), (-3000, -1200)]
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_store_follows_the_model(spark, store, seed):
+    rng = random.Random(seed)
+    model, clock = Model(), at("10:00:00")
+    next_id, skipped = 1, []
+    for step in range(STEPS):
+        rows = []
+        for _ in range(rng.randint(0, 25)):
+            machine = rng.choice(["A", "A", "A", "B", f"N{rng.randint(0, step)}"])
+            low, high = rng.choice(LAGS)
+            when = clock - timedelta(seconds=rng.randint(low * 60, high * 60))
+            rows.append(
+                reading(next_id, machine, when, rng.randint(60, 90), rng.randint(0, 400) / 10)
+            )
+            next_id += 1
+        if rows and rng.random() < 0.3:
+            skipped.append(rows.pop(rng.randrange(len(rows))))
+        if skipped and rng.random() < 0.3:  # an id below the newest, loaded late
+            rows.append(skipped.pop())
+        if rows:
+            again = rng.sample(list(model.raw.values()), min(2, len(model.raw)))
+            jobs.append_raw(store, store.manifest(INGEST_LOG), frame(spark, rows + rows[:3] + again))
+            model.load(rows)
+        for log in (INGEST_LOG, REFRESH_LOG):
+            if rng.random() < 0.2:
+                store.compact(log, max_rows=rng.choice([20, 10_000]), min_batches=2)
+        length = rng.choice([2, 2, 2, 7, 90])
+        delay = rng.choice([0, 15, 15, 3600])
+        counts = jobs.refresh_metrics(
+            store, clock, window_minutes=length, watermark_seconds=delay
+        )
+        expected = model.refresh(clock, length=length, watermark=delay)
+        assert (counts.processed_metrics, counts.updated_machines) == expected, step
+        assert stored_control(store) == model.control, step
+        assert stored_metrics(store) == model.metrics, step
+        jump = rng.choice([0, 1, 2, 2, 5, 70, 800, 2000, -30])
+        clock += timedelta(minutes=jump, seconds=rng.randint(0, 59))
