@@ -20,17 +20,23 @@ _MESSAGE = "array<struct<" + ",".join(f"{k}:string" for k in READING_KEYS) + ">>
 _STRICT = {"allowSingleQuotes": "false"}
 
 
-def _whole_object(text: Column) -> Column:
-    """The message's fields as text, or null unless it is one JSON object.
+def _parsed_items(text: Column) -> Column:
+    """The text as the items of an array; null when that is not valid JSON.
 
     The JSON reader stops at the end of the first value. Wrapping the text in
     an array makes it read on to our closing bracket, so trailing text fails.
-    Only a text holding ``}]`` could close that array early; for those, a
+    """
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), _MESSAGE, _STRICT)
+
+
+def _whole_object(text: Column, items: Column) -> Column:
+    """The message's fields as text, or null unless it is one JSON object.
+
+    Only a text holding ``}]`` could have closed our array early; for those, a
     second wrapping in an object has to parse too.
     """
-    items = F.from_json(F.concat(F.lit("["), text, F.lit("]")), _MESSAGE, _STRICT)
     held = F.from_json(
-        F.concat(F.lit("[{\"held\":"), text, F.lit("}]")),
+        F.concat(F.lit('[{"held":'), text, F.lit("}]")),
         "array<struct<held:string>>",
         _STRICT,
     )
@@ -54,57 +60,82 @@ def violated_column(columns: dict[str, Column]) -> Column:
     )
 
 
+def _computed_once(frame: DataFrame, kept: list[str], columns: dict[str, Column]) -> DataFrame:
+    """Add columns behind an outer generator: filters are not pushed through it.
+
+    Without it a filter on the outcome would be rewritten in terms of the text,
+    and every mention of a parsed field would parse the message again.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return frame.select(*kept, F.array(row).alias("__row")).select(*kept, F.inline_outer("__row"))
+
+
 def classify_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Decode every message once and say why the bad ones are rejected.
 
     Keeps all input columns; adds the typed reading (null when rejected),
     ``reject_reason`` and ``reject_field``. ``value`` may be text or bytes.
     """
-    raw_text = F.col(value).cast("string")
-    text = F.col("__text")
-    row = F.col("__row")
-    keys = F.expr("json_object_keys(__text)")
-    decoded = messages.withColumn("__text", F.try_validate_utf8(raw_text)).withColumn(
-        "__row", _whole_object(text)
+    kept = messages.columns
+    checked_text = F.try_validate_utf8(F.col(value).cast("string"))
+    parsed = _computed_once(
+        messages.withColumn("__text", checked_text).withColumn(
+            "__items", _parsed_items(F.col("__text"))
+        ),
+        kept,
+        {
+            "__text": F.col("__text"),
+            "__fields": _whole_object(F.col("__text"), F.col("__items")),
+        },
     )
+    text, fields = F.col("__text"), F.col("__fields")
 
     # json_object_keys is null for a message with a bare NaN, which the reader
     # accepts; such a key is present as text, so a null field is a missing one.
+    # CASE branches run in order, so a complete message never lists its keys.
+    keys = F.expr("json_object_keys(__text)")
+    complete = reduce(lambda a, b: a & b, [fields[key].isNotNull() for key in READING_KEYS])
     missing = _first(
         {
-            key: row[key].isNull() & ~F.coalesce(F.array_contains(keys, key), F.lit(False))
+            key: fields[key].isNull() & ~F.coalesce(F.array_contains(keys, key), F.lit(False))
             for key in READING_KEYS
         }
     )
-    nested_name = row["strMachineName"].rlike(r"^[\[{]") & text.rlike(
+    nested_name = fields["strMachineName"].rlike(r"^[\[{]") & text.rlike(
         r'"strMachineName"\s*:\s*[\[{]'
     )
     typed = {
-        "strMachineName": F.when(~nested_name, row["strMachineName"]),
-        "fA": number_or_null(row["fA"]),
-        "fV": number_or_null(row["fV"]),
-        "nTemperature": number_or_null(row["nTemperature"]),
-        "dtInsert": timestamp_or_null(row["dtNow"]),
+        "strMachineName": F.when(~nested_name, fields["strMachineName"]),
+        "fA": number_or_null(fields["fA"]),
+        "fV": number_or_null(fields["fV"]),
+        "nTemperature": number_or_null(fields["nTemperature"]),
+        "dtInsert": timestamp_or_null(fields["dtNow"]),
     }
-    checked = {**typed, "nTemperature": rounded_int(typed["nTemperature"])}
-    # CASE branches run in order, so a good message never lists its keys.
-    complete = reduce(lambda a, b: a & b, [row[key].isNotNull() for key in READING_KEYS])
     absent = F.when(complete, F.lit(None)).otherwise(missing)
-    staged = decoded.withColumn("__absent", F.when(row.isNotNull(), absent)).withColumn(
-        "__violated",
-        F.when(row.isNotNull() & F.col("__absent").isNull(), violated_column(checked)),
+    converted = _computed_once(
+        parsed.withColumn("__absent", F.when(fields.isNotNull(), absent)),
+        kept,
+        {**typed, "__absent": F.col("__absent"), "__object": fields.isNotNull()},
     )
+
+    checked = {name: F.col(name) for name in typed}
+    checked["nTemperature"] = rounded_int(checked["nTemperature"])
+    violated = F.when(F.col("__object") & F.col("__absent").isNull(), violated_column(checked))
     reason = (
-        F.when(row.isNull(), INVALID_JSON)
+        F.when(~F.col("__object"), INVALID_JSON)
         .when(F.col("__absent").isNotNull(), MISSING_FIELD)
         .when(F.col("__violated").isNotNull(), CONSTRAINT)
     )
-    good = reason.isNull()
-    return staged.select(
-        *[F.col(c) for c in messages.columns],
-        *[F.when(good, column).alias(name) for name, column in typed.items()],
-        reason.alias("reject_reason"),
-        F.coalesce("__absent", "__violated").alias("reject_field"),
+    good = F.col("reject_reason").isNull()
+    return (
+        converted.withColumn("__violated", violated)
+        .withColumn("reject_reason", reason)
+        .select(
+            *kept,
+            *[F.when(good, F.col(name)).alias(name) for name in typed],
+            "reject_reason",
+            F.coalesce("__absent", "__violated").alias("reject_field"),
+        )
     )
 
 

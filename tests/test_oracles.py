@@ -1,0 +1,27 @@
+"""Every registered query against its SQL in another engine."""
+
+import compare
+import pytest
+
+import __spark_entry__ as contract
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return compare.connection(SF_DIR)
+
+
+def test_every_query_has_an_oracle():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query_equals_oracle(spark, con, name):
+    frame = contract.queries()[name](spark, SF_DIR)
+    assert compare.differences(frame, contract.oracle_sql()[name], con) is None
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
