@@ -4,29 +4,39 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-DATE_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
-LARGEST_INT = 2147483647
+INT_LIMIT = 2147483647.5
 
 
 def number_or_null(text: Column) -> Column:
     """Plain decimal or exponent notation as DOUBLE; anything else is null.
 
-    The pattern keeps out what a cast alone would let through: NaN, infinities
-    and type suffixes such as ``1.5d``.
+    Keeps out what a cast alone would let through: NaN, infinities, hexadecimal
+    and type suffixes such as ``1.5d``. Text that ends in a digit or a point
+    needs no pattern match.
     """
-    parsed = F.when(text.rlike(NUMBER_TEXT), text).try_cast("double")
+    last = F.right(text, F.lit(1))
+    plain = last.between(".", "9") & ~F.contains(F.lower(text), F.lit("x"))
+    parsed = F.when(plain | text.rlike(NUMBER_TEXT), text).try_cast("double")
     return F.when(F.abs(parsed) < F.lit(float("inf")), parsed)
 
 
 def timestamp_or_null(text: Column) -> Column:
-    """Text that starts with a full date as TIMESTAMP_NTZ; otherwise null."""
-    return F.when(text.rlike(DATE_TEXT), text).try_cast("timestamp_ntz")
+    """Text that starts with a full date as TIMESTAMP_NTZ; otherwise null.
+
+    A cast alone would take a year, or a year and month, for a date.
+    """
+    full_date = F.locate("-", F.ltrim(text), 6) > 0
+    return F.when(full_date, text).try_cast("timestamp_ntz")
+
+
+def fits_int(value: Column) -> Column:
+    """The value when it rounds to an INT, otherwise null."""
+    return F.when(F.abs(value) < INT_LIMIT, value)
 
 
 def rounded_int(value: Column) -> Column:
     """Nearest integer, ties away from zero; null outside the INT range."""
-    nearest = F.round(value)
-    return F.when(F.abs(nearest) <= LARGEST_INT, nearest.cast("int"))
+    return F.round(fits_int(value)).cast("int")
 
 
 def fixed(value: Column, unit: str) -> Column:

@@ -5,11 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetmetrics.functions.values import (
-    number_or_null,
-    rounded_int,
-    timestamp_or_null,
-)
+from fleetmetrics.functions.values import fits_int, number_or_null, timestamp_or_null
 from fleetmetrics.schemas import BUFFER, MACHINE_NAME_LENGTH, READING_KEYS
 
 INVALID_JSON = "invalid_json"
@@ -40,7 +36,8 @@ def _whole_object(text: Column, items: Column) -> Column:
         "array<struct<held:string>>",
         _STRICT,
     )
-    complete = ~text.rlike(r"\}\s*\]") | held.isNotNull()
+    closes = F.contains(text, F.lit("]")) & text.rlike(r"\}\s*\]")
+    complete = ~closes | held.isNotNull()
     return F.when((F.size(items) == 1) & complete, items[0])
 
 
@@ -101,11 +98,12 @@ def classify_messages(messages: DataFrame, value: str = "value") -> DataFrame:
             for key in READING_KEYS
         }
     )
-    nested_name = fields["strMachineName"].rlike(r"^[\[{]") & text.rlike(
+    name = fields["strMachineName"]
+    nested_name = (name.startswith("{") | name.startswith("[")) & text.rlike(
         r'"strMachineName"\s*:\s*[\[{]'
     )
     typed = {
-        "strMachineName": F.when(~nested_name, fields["strMachineName"]),
+        "strMachineName": F.when(~nested_name, name),
         "fA": number_or_null(fields["fA"]),
         "fV": number_or_null(fields["fV"]),
         "nTemperature": number_or_null(fields["nTemperature"]),
@@ -119,7 +117,7 @@ def classify_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     )
 
     checked = {name: F.col(name) for name in typed}
-    checked["nTemperature"] = rounded_int(checked["nTemperature"])
+    checked["nTemperature"] = fits_int(checked["nTemperature"])
     violated = F.when(F.col("__object") & F.col("__absent").isNull(), violated_column(checked))
     reason = (
         F.when(~F.col("__object"), INVALID_JSON)
@@ -155,7 +153,7 @@ def quarantine_messages(messages: DataFrame, value: str = "value") -> DataFrame:
 def constraint_violations(readings: DataFrame) -> DataFrame:
     """Buffer-typed rows that break a table constraint, with the column at fault."""
     columns = {f: F.col(f) for f in BUFFER.fieldNames() if f != "nId"}
-    columns["nTemperature"] = rounded_int(columns["nTemperature"])
+    columns["nTemperature"] = fits_int(columns["nTemperature"])
     return readings.withColumn("reject_field", violated_column(columns)).filter(
         F.col("reject_field").isNotNull()
     )

@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetmetrics.functions.values import rounded_int
 from fleetmetrics.operators import decode, fleet, ingest, latency, merge, windows
 from fleetmetrics.plans import fixtures, jobs
 from fleetmetrics.session import scratch_folder
@@ -75,7 +76,7 @@ def incremental_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def temperature_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
     buffer = fixtures.cadence_buffer(fixtures.events(spark, sf_dir))
     readings = buffer.select("nId", (F.col("nTemperature") - 75).alias("nMeasured"))
-    return readings.withColumn("nTemperature", decode.rounded_int(F.col("nMeasured")))
+    return readings.withColumn("nTemperature", rounded_int(F.col("nMeasured")))
 
 
 def idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
