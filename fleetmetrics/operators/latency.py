@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 
 def _delay_by_machine(rows: DataFrame, earlier: str, later: str, count: str) -> DataFrame:
-    seconds = F.timestamp_diff("SECOND", F.col(earlier), F.col(later))
+    # Subtracting keeps the zone out of it; timestampdiff would go through the
+    # session's, where a change to summer time costs an hour.
+    seconds = (F.col(later) - F.col(earlier)).cast("interval second").cast("long")
     return (
         rows.select("strMachineName", seconds.alias("delay"))
         .groupBy("strMachineName")

@@ -14,6 +14,7 @@ from fleetmetrics.functions.clock import (
     covering_windows,
     minutes,
     ntz,
+    tiled_start,
     tiles_the_hour,
     window_start,
 )
@@ -36,9 +37,8 @@ def check_parameters(window_minutes: int, watermark_seconds: int) -> None:
 
 def assign_windows(readings: DataFrame, window_minutes: int = 2) -> DataFrame:
     """Add ``dtWindowStart``, the one window a reading is assigned to."""
-    return readings.withColumn(
-        "dtWindowStart", window_start(F.col("dtInsert"), window_minutes)
-    )
+    find = tiled_start if tiles_the_hour(window_minutes) else window_start
+    return readings.withColumn("dtWindowStart", find(F.col("dtInsert"), window_minutes))
 
 
 def cover_windows(readings: DataFrame, window_minutes: int = 2) -> DataFrame:
@@ -121,12 +121,12 @@ def recompute_windows(
 ) -> DataFrame:
     """Full metrics of the affected windows, old readings included.
 
-    The semi-join follows the aggregation and uses its partitioning. When the
-    affected side is small enough to broadcast, Catalyst moves the join below
-    the aggregation.
+    ``affected`` holds each pair once, so the join only selects. It follows the
+    aggregation and uses its partitioning; a semi-join would be moved below it,
+    to a look-up for every reading.
     """
     return window_metrics(readings, window_minutes).join(
-        affected.select(*WINDOW_KEY), WINDOW_KEY, "left_semi"
+        affected.select(*WINDOW_KEY), WINDOW_KEY
     )
 
 

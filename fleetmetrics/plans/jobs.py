@@ -118,26 +118,31 @@ def receive_messages(
 # -- buffer -> raw ------------------------------------------------------------
 
 
-def append_raw(store: TelemetryStore, manifest: Manifest, rows: DataFrame, **state) -> int:
+def _extent(rows: DataFrame):
+    """Count and id range, from the id column alone."""
+    source = F.col("nSourceId")
+    return rows.agg(
+        F.count("*").alias("found"), F.min(source).alias("low"), F.max(source).alias("high")
+    ).first()
+
+
+def append_raw(store: TelemetryStore, manifest: Manifest, rows: DataFrame, extent=None) -> int:
     """Insert rows not yet in the raw table; returns the inserted count.
 
-    Only raw batches that reach down to the rows' id range are looked at.
+    Only raw batches that reach into the rows' id range are looked at. After an
+    incremental scan there are none, and the plan has no join.
     """
-    ids = rows.agg(F.min("nSourceId").alias("low"), F.max("nSourceId").alias("high")).first()
-    if ids.low is None:
-        if state:
-            store.commit(INGEST_LOG, manifest.extended(**state))
+    extent = extent or _extent(rows)
+    if not extent.found:
         return 0
-    overlapping = tuple(
-        b for b in manifest.batches if b.max_id >= ids.low and b.min_id <= ids.high
-    )
-    existing = store.open("raw", overlapping).filter(
-        F.col("nSourceId").between(ids.low, ids.high)
-    )
+    low, high = extent.low, extent.high
+    overlapping = tuple(b for b in manifest.batches if b.max_id >= low and b.min_id <= high)
+    existing = store.open("raw", overlapping).filter(F.col("nSourceId").between(low, high))
     batch_id = manifest.next_id
     store.write("raw", idempotent_append(existing, rows).select(*RAW.fieldNames()), batch_id)
     added, found = store.describe("raw", batch_id)
-    store.commit(INGEST_LOG, manifest.extended(*([added] if added else []), **state))
+    if added:
+        store.commit(INGEST_LOG, manifest.extended(added))
     return found["rows"]
 
 
@@ -153,10 +158,9 @@ def ingest(store: TelemetryStore, as_of: datetime, source: DataFrame | None = No
         fresh = tuple(b for b in store.manifest(READINGS_LOG).batches if b.max_id > cursor)
         source = store.open("buffer", fresh)
     scanned = incremental_scan(source, cursor)
-    found = scanned.count()
-    if not found:
-        return IngestCounts(0, 0)
-    return IngestCounts(found, append_raw(store, manifest, load_readings(scanned, as_of)))
+    extent = _extent(scanned)
+    inserted = append_raw(store, manifest, load_readings(scanned, as_of), extent)
+    return IngestCounts(extent.found, inserted)
 
 
 # -- raw -> metrics -----------------------------------------------------------

@@ -127,6 +127,10 @@ def test_series(spark):
 
 def test_delays_are_whole_seconds(spark):
     start = at("10:00:00")
-    rows = [(i, "M", 1.0, 1.0, 1, start, start + timedelta(seconds=s)) for i, s in ((1, 2.9), (2, 4))]
+    delays = (2.9, -1.9, 4, 90_000)
+    rows = [
+        (i, "M", 1.0, 1.0, 1, start, start + timedelta(seconds=s)) for i, s in enumerate(delays)
+    ]
     found = latency.ingestion_latency(spark.createDataFrame(rows, RAW)).first()
-    assert (found.MinimumSeconds, found.MaximumSeconds, found.AverageSeconds) == (2, 4, 3.0)
+    assert (found.MinimumSeconds, found.MaximumSeconds) == (-1, 90_000)
+    assert found.AverageSeconds == (2 - 1 + 4 + 90_000) / 4
