@@ -14,6 +14,7 @@ import json
 from dataclasses import asdict, dataclass, field, replace
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,7 +87,7 @@ class Manifest:
 
 
 class TelemetryStore:
-    """Opens the tables below ``root``; ``create`` makes an empty store."""
+    """The tables below ``root``; ``create`` makes them when they are missing."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -94,9 +95,15 @@ class TelemetryStore:
 
     @classmethod
     def create(cls, spark: SparkSession, root: str) -> "TelemetryStore":
+        """An empty store, or an existing one as it is."""
         store = cls(spark, root)
         for log in LOG_TABLE:
-            store.commit(log, Manifest())
+            try:
+                store.manifest(log)
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                store.commit(log, Manifest())
         return store
 
     def path(self, table: str, batch_id: int) -> str:

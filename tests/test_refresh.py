@@ -212,3 +212,11 @@ def test_compaction_keeps_the_tables_and_later_updates_win(store):
     assert since.count() == 1
     assert store.metrics(since=at("00:00:00", day=2).date()).count() == 0
     assert store.raw().filter(F.col("nSourceId") == 9).count() == 1
+
+
+def test_creating_an_existing_store_keeps_it(store):
+    for i in range(1, 5):  # the newest manifest is back in the first slot
+        load(store, reading(i, "M", at("10:02:00")))
+    again = type(store).create(store.spark, store.root)
+    assert again.manifest(INGEST_LOG) == store.manifest(INGEST_LOG)
+    assert again.raw().count() == 4
