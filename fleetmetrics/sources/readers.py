@@ -5,7 +5,9 @@ from pyspark.sql import DataFrame, SparkSession
 BUFFER_COLUMNS = "nId, strMachineName, fA, fV, nTemperature, dtInsert"
 
 
-def landing_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+def landing_stream(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None
+) -> DataFrame:
     """Text files with one message per line, as they land in a folder."""
     reader = spark.readStream.format("text")
     if files_per_batch is not None:

@@ -15,8 +15,11 @@ from pyspark.sql.streaming import StreamingQuery
 from fleetmetrics.functions.clock import tiles_the_hour
 from fleetmetrics.operators.windows import window_measures
 from fleetmetrics.plans.jobs import ingest, receive_messages, refresh_metrics
+from fleetmetrics.schemas import METRICS, METRICS_KEY
 from fleetmetrics.sources.store import TelemetryStore
 
+_LATER = ("bTemperatureAlert", "dtProcessing")  # added after the aggregation
+
 EVERY_MINUTE = {"processingTime": "1 minute"}
 EVERY_TWO_MINUTES = {"processingTime": "2 minutes"}
 
@@ -110,16 +113,10 @@ def native_windows(
         "strMachineName",
         F.col("window.start").cast("timestamp_ntz").alias("dtWindowStart"),
         F.col("window.end").cast("timestamp_ntz").alias("dtWindowEnd"),
-        *[c for c in _measure_names()],
+        *[c for c in METRICS.fieldNames() if c not in (*METRICS_KEY, *_LATER)],
     )
 
 
-def _measure_names() -> list[str]:
-    stats = [f"{p}{s}{m}" for m, n in (("Current", "f"), ("Voltage", "f"), ("Temperature", "n"))
-             for p, s in (("f", "Average"), (n, "Minimum"), (n, "Maximum"))]
-    return ["nFirstSourceId", "nLastSourceId", "nRecords", *stats]
-
-
 def stream_native_windows(
     readings: DataFrame,
     folder: str,

@@ -71,7 +71,7 @@ def test_fleet_shows_the_last_processing_and_a_machine_that_of_its_last_window(s
 
 
 def test_menu_lists_all_machines_first(spark):
-    frame = view(spark, row("b", at("10:00:00")), row("B", at("10:00:00")), row("a", at("10:00:00")))
+    frame = view(spark, *[row(m, at("10:00:00")) for m in "bBa"])
     found = [(r.Label, r.Value) for r in fleet.machine_list(frame).collect()]
     assert found == [("All machines", "__all__"), ("B", "B"), ("a", "a"), ("b", "b")]
 

@@ -48,7 +48,9 @@ def test_recompute_prunes_dates_and_pushes_times(spark, store):
     rows = [reading(i, "M", at("10:00:00", day=i)) for i in range(1, 6)]
     jobs.append_raw(store, store.manifest(INGEST_LOG), frame(spark, rows))
     raw = store.open("raw", store.manifest(INGEST_LOG).batches)
-    affected = spark.createDataFrame([("M", at("10:00:00", day=3))], "strMachineName string, dtWindowStart timestamp_ntz")
+    affected = spark.createDataFrame(
+        [("M", at("10:00:00", day=3))], "strMachineName string, dtWindowStart timestamp_ntz"
+    )
     pruned = jobs._prune_to_windows(raw, affected, 2)
     text = plan(pruned)
     assert "event_date" in text.split("PartitionFilters:")[1].split("]")[0]

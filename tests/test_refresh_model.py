@@ -38,7 +38,8 @@ def test_store_follows_the_model(spark, store, seed):
             rows.append(skipped.pop())
         if rows:
             again = rng.sample(list(model.raw.values()), min(2, len(model.raw)))
-            jobs.append_raw(store, store.manifest(INGEST_LOG), frame(spark, rows + rows[:3] + again))
+            sent = frame(spark, rows + rows[:3] + again)
+            jobs.append_raw(store, store.manifest(INGEST_LOG), sent)
             model.load(rows)
         for log in (INGEST_LOG, REFRESH_LOG):
             if rng.random() < 0.2:
