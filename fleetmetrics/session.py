@@ -1,5 +1,6 @@
 """Session helpers: the scratch folder for written intermediate tables."""
 
+import re
 import tempfile
 import uuid
 
@@ -13,11 +14,14 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder that the cluster names.
 
-    Only a session without that setting (a local test) falls back to the
-    machine's temporary folder.
+    A local session without that setting (a test) falls back to the machine's
+    temporary folder; on a cluster executors would not see that folder, so
+    there the setting is required.
     """
     shared = spark.conf.get(CHECKPOINT_SETTING, None)
     if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="fleetmetrics-")
         spark.conf.set(CHECKPOINT_SETTING, shared)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
