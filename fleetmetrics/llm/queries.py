@@ -6,8 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmetrics.llm import content_sort, decontaminate, packing, simhash
+from fleetmetrics.llm import (
+    content_sort,
+    decontaminate,
+    line_chunks,
+    masked_lm,
+    packing,
+    quality,
+    secret_index,
+    simhash,
+    url_rules,
+    warc,
+)
 from fleetmetrics.llm.common import table
+from fleetmetrics.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
@@ -26,6 +38,34 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's labels are those of the document whose number its path holds."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    number = F.regexp_extract(url_rules.path(F.col("url")), "/([0-9]+)", 1).try_cast("long")
+    bad = labels.select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
+    labelled = pages.select("url", number.alias("doc_id")).join(bad, "doc_id")
+    return url_rules.judge(pages, url_rules.mine(labelled)).drop("mined")
+
+
+def op3_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark, "warc")
+    files = warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    read = warc.records(warc.read_warc(files, folder, with_payload=False))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_index.find_secrets(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secret_index.BASE]
+    counts = [secret_index.count_of(F.col("secrets"), k).alias(f"n_{k}") for k in base]
+    digest = F.sha2(secret_index.listed(F.col("secrets"), base), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), secret_index.listed(F.col("secrets")).alias("spans"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -36,10 +76,43 @@ def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_chunks.dedup_lines(table(spark, sf_dir, "documents"), keep=["doc_id", "text"])
+    spans = F.transform("lines.spans", lambda s: F.concat_ws(":", s["first"], s["past"]))
+    return cleaned.select(
+        "doc_id",
+        F.col("lines.n_lines").alias("n_lines"),
+        F.col("lines.removed").alias("n_removed"),
+        F.array_join(spans, ",").alias("removed_lines"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= 0.7).cast("int")
+    return found.select("doc_id", quality.held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     return packing.pack_documents(table(spark, sf_dir, "documents"), path, with_ids=False)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontamination, op6_simhash, op7_content_sort, op10_packing)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_decontamination,
+            op2_url_rules,
+            op3_masked_lm,
+            op4_warc,
+            op5_secret_index,
+            op6_simhash,
+            op7_content_sort,
+            op8_line_chunks,
+            op9_quality,
+            op10_packing,
+        )
+    }
