@@ -153,7 +153,9 @@ def near_duplicates(
     grouped = roots.withColumnRenamed("node", "fp").join(distinct, "fp")
     firsts = grouped.groupBy("root").agg(F.min("first").alias("least"))
     labels = distinct.join(grouped.join(firsts, "root").select("fp", "least"), "fp", "left")
-    labels = labels.select("fp", F.coalesce("least", "first").alias("component_id"))
+    # Stored, so that both sides of the last join are dealt anew and a frequent
+    # fingerprint's rows can be split.
+    labels = stored(labels.select("fp", F.coalesce("least", "first").alias("component_id")), "labels")
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
