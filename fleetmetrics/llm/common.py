@@ -1,6 +1,9 @@
 """What the operators share: tables, written intermediates, Arrow row mapping."""
 
+import shutil
+import tempfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +53,30 @@ def texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+#: By application, the folder of the archive that its executors fetch; gone when Python ends.
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the workers this package, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    own = tempfile.TemporaryDirectory()
+    package = Path(__file__).resolve().parents[1]
+    ignore = shutil.ignore_patterns("__pycache__")
+    shutil.copytree(package, f"{own.name}/root/{package.name}", ignore=ignore)
+    archive = shutil.make_archive(f"{own.name}/{package.name}-{context.applicationId}", "zip", f"{own.name}/root")
+    context.addPyFile(archive)
+    _shipped[context.applicationId] = own
+
+
+def map_batches(frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow, with this package on the workers."""
+    ship(frame.sparkSession)
+    return frame.mapInArrow(function, schema)
+
+
 def map_column(
     frame: DataFrame,
     source: str,
@@ -74,4 +101,4 @@ def map_column(
             names = [*batch.schema.names[1:], *arrow.names]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], names=names)
 
-    return sent.mapInArrow(mapped, schema)
+    return map_batches(sent, mapped, schema)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.common import blobs, free_name, map_column
+from fleetmetrics.llm.common import blobs, free_name, map_batches, map_column
 
 LONG = 50
 LEAST = 20
@@ -171,4 +171,4 @@ def _cleaned(joined: DataFrame, keep: list[str], text: str, gone: str, into: str
             yield pa.RecordBatch.from_arrays([*kept, pa.array(report, arrow)], names=[*keep, into])
 
     sent = joined.select(F.col(f"`{text}`").alias("__text"), F.col(gone), *[F.col(f"`{c}`") for c in keep])
-    return sent.mapInArrow(cut, T.StructType([*fields, T.StructField(into, made)]))
+    return map_batches(sent, cut, T.StructType([*fields, T.StructField(into, made)]))

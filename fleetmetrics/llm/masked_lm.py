@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.common import blobs, map_column
+from fleetmetrics.llm.common import blobs, map_batches, map_column
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 OFFSETS = (-2, -1, 1, 2)
@@ -198,7 +198,7 @@ def vocabulary(docs: DataFrame, text: str = "text", words: int = WORDS) -> list[
             columns = [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["word", "times"])
 
-    counts = docs.select(F.col(text).alias("text")).mapInArrow(counted, part)
+    counts = map_batches(docs.select(F.col(text).alias("text")), counted, part)
     total = counts.groupBy("word").agg(F.sum("times").alias("times"))
     return [bytes(r.word) for r in total.orderBy(F.desc("times"), "word").limit(words).collect()]
 
@@ -234,7 +234,7 @@ def train(docs: DataFrame, words: Sequence[bytes], text: str = "text", rounds: i
                 yield pa.RecordBatch.from_pylist(rows, wire)
 
         own = F.pmod(F.xxhash64(text), F.lit(rounds)) == number
-        local = docs.filter(own).select(F.col(text).alias("text")).mapInArrow(trained, schema)
+        local = map_batches(docs.filter(own).select(F.col(text).alias("text")), trained, schema)
         branches = local.groupBy("piece", "branch").applyInArrow(_summed, schema)
         total = branches.groupBy("piece").applyInArrow(_summed, schema).orderBy("piece").collect()
         if total:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from fleetmetrics.llm.common import map_column, shuffle_partitions, stored, texts
+from fleetmetrics.llm.common import map_column, ship, shuffle_partitions, stored, texts
 
 WINDOW = 2048
 END = 1
@@ -175,27 +175,43 @@ def _packed(frames: Iterator[pd.DataFrame], window: int, block: int) -> Iterator
 
 
 def pack(cut: DataFrame, window: int = WINDOW, partitions: int | None = None, block: int = BLOCK) -> DataFrame:
-    """The pieces with sequence_id and offset. `cut` should be a stored table: it is read twice."""
+    """doc_id, LONGS, sequence_id and offset of the pieces. `cut` should be a stored
+    table: it is read twice."""
     n = partitions or shuffle_partitions(cut.sparkSession)
-    tails = cut.filter(F.col("length") < window)
+    narrow = cut.select("doc_id", *LONGS)
+    tails = narrow.filter(F.col("length") < window)
     dealt = tails.repartition(n, F.xxhash64("doc_id", "start", "ids_crc32"))
     dealt = dealt.sortWithinPartitions(F.xxhash64("ids_crc32", "doc_id"), "doc_id", "start", "length")
     dealt = dealt.withColumn("part", F.spark_partition_id().cast("long"))
     schema = T.StructType([*dealt.schema.fields, *[T.StructField(c, T.LongType()) for c in ("number", "offset")]])
+    ship(cut.sparkSession)
     packed = dealt.mapInPandas(lambda frames: _packed(frames, window, block), schema)
-    packed = packed.withColumn("sequence_id", F.shiftleft("part", 32).bitwiseOR(F.col("number")))
-    whole = cut.filter(F.col("length") == window)
     # Odd ids for full windows, even ones for packed windows.
+    number = F.shiftleft("part", 32).bitwiseOR(F.col("number"))
+    packed = packed.withColumn("sequence_id", 2 * number)
+    whole = narrow.filter(F.col("length") == window)
     whole = whole.withColumns(
         {"sequence_id": 2 * F.monotonically_increasing_id() + 1, "offset": F.lit(0).cast("long")}
     )
-    packed = packed.withColumn("sequence_id", 2 * F.col("sequence_id")).select(*whole.columns)
-    return whole.unionByName(packed)
+    return whole.unionByName(packed.select(*whole.columns))
 
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, window: int = WINDOW, with_ids: bool = True, partitions: int | None = None, **names
 ) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, ids if asked for, sequence_id, offset; a row per piece."""
-    cut = tokenized(docs, tokenizer, window=window, with_ids=with_ids, **names)
-    return pack(stored(cut, "pieces"), window, partitions)
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for,
+    ids (little-endian 32-bit); a row per piece.
+
+    Ids are joined to the plan at the end: packing itself moves only lengths.
+    """
+    cut = stored(tokenized(docs, tokenizer, window=window, with_ids=with_ids, **names), "pieces")
+    plan = pack(cut, window, partitions)
+    if not with_ids:
+        return plan
+    ids = cut.select(F.col("doc_id").alias("__id"), *[F.col(c).alias(f"__{c}") for c in LONGS], "ids").dropDuplicates(
+        ["__id", *[f"__{c}" for c in LONGS]]
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    for c in LONGS:
+        same = same & (F.col(c) == F.col(f"__{c}"))
+    return plan.join(ids, same).select(*plan.columns, "ids")

@@ -68,7 +68,7 @@ def op5_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
-    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    digits = F.lpad(F.lower(F.hex(F.col("fps")[0])), 16, "0")
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 

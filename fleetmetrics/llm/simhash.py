@@ -7,11 +7,16 @@ under at least one choice of that many blocks. A bucket of such a key with more
 than BUCKET distinct fingerprints is not paired: its members meet instead at
 fingerprints half way between them, which is exact too and linear.
 
+One fingerprint misses many near copies: an edit of a few words moves several
+bits. `prints` greater than one takes as many fingerprints from independent
+mixes of the shingle hashes, and links texts that are close in any of them.
+
 Nulls and texts without words have fingerprint 0 and are linked like any other.
 Repeated rows and ties share their fingerprint and group. A null id takes no
 part in the choice of a group's smallest id.
 """
 
+from functools import reduce
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -31,11 +36,22 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 CHUNK = 1 << 16
 
 
-def fingerprint(text: bytes, words: int = WORDS) -> int:
-    """Signed 64-bit SimHash of the word shingles of a UTF-8 text."""
+def mixed(hashes: np.ndarray, number: int) -> np.ndarray:
+    """The hashes themselves for number 0, else an independent mix of them."""
+    if not number:
+        return hashes
+    with np.errstate(over="ignore"):
+        h = hashes + np.uint64(number) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return h ^ (h >> np.uint64(31))
+
+
+def fingerprint(text: bytes, words: int = WORDS, prints: int = 1) -> list[int]:
+    """Signed 64-bit SimHashes of the word shingles of a UTF-8 text."""
     found = text.translate(LOWER).split()
     if not found:
-        return 0
+        return [0] * prints
     joined = b" ".join(found)
     after = list(accumulate(len(w) + 1 for w in found))
     width = min(words, len(found))
@@ -43,22 +59,25 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
     ends = after[width - 1 :]
     digest = xxhash.xxh64_intdigest
     hashes = [digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends, strict=False)]
-    counts = np.zeros(64, dtype=np.int64)
+    counts = np.zeros((prints, 64), dtype=np.int64)
     for at in range(0, len(hashes), CHUNK):
-        part = np.array(hashes[at : at + CHUNK], dtype="<u8").view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
+        part = np.array(hashes[at : at + CHUNK], dtype="<u8")
+        for k in range(prints):
+            octets = mixed(part, k).view(np.uint8).reshape(-1, 8)
+            counts[k] += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    bits = np.packbits(2 * counts > len(hashes), axis=1, bitorder="little")
+    return bits.view("<i8").ravel().tolist()
 
 
 def fingerprints(
-    docs: DataFrame, text: str = "text", words: int = WORDS, keep: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame, text: str = "text", words: int = WORDS, prints: int = 1, keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
-    """`keep` and fp, the fingerprint as a signed long."""
+    """`keep` and fps, the fingerprints as signed longs."""
 
     def made(column: pa.Array):
-        return ((fingerprint(b, words),) for b in blobs(column))
+        return ((fingerprint(b, words, prints),) for b in blobs(column))
 
-    return map_column(docs, text, [T.StructField("fp", T.LongType())], made, keep)
+    return map_column(docs, text, [T.StructField("fps", T.ArrayType(T.LongType()))], made, keep)
 
 
 def signed(bits: int) -> int:
@@ -137,6 +156,17 @@ def components(pairs: DataFrame) -> DataFrame:
     return leaves.union(leaves.select(F.col("root").alias("node"), "root").distinct())
 
 
+def _links(distinct: DataFrame, number: int, radius: int, blocks: int | None) -> DataFrame:
+    """Links (a, b) of nodes that are close in one of their fingerprints."""
+    own = distinct.select("node", F.col("fps")[number].alias("fp"))
+    first = own.groupBy("fp").agg(F.min("node").alias("head"))
+    pairs = close_pairs(first.select("fp"), radius, blocks)
+    left, right = first.toDF("a", "node_a"), first.toDF("b", "node_b")
+    across = pairs.join(left, "a").join(right, "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    same = own.join(first, "fp").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    return across.union(same)
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -144,23 +174,31 @@ def near_duplicates(
     words: int = WORDS,
     radius: int = RADIUS,
     blocks: int | None = None,
+    prints: int = 1,
 ) -> DataFrame:
-    """doc_id, fp and component_id, the smallest id of the document's group; a row per document."""
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    prints = stored(fingerprints(own, words=words), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(close_pairs(distinct.select("fp"), radius, blocks))
-    grouped = roots.withColumnRenamed("node", "fp").join(distinct, "fp")
-    firsts = grouped.groupBy("root").agg(F.min("first").alias("least"))
-    labels = distinct.join(grouped.join(firsts, "root").select("fp", "least"), "fp", "left")
+    """doc_id, fps and component_id, the smallest id of the document's group; a row per document."""
+    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    node = F.col("fps")[0] if prints == 1 else F.xxhash64("fps")
+    marked = stored(fingerprints(own, words=words, prints=prints).withColumn("node", node), "fingerprints")
+    distinct = marked.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("fps").alias("fps"))
+    if prints == 1:
+        links = close_pairs(distinct.select(F.col("node").alias("fp")), radius, blocks)
+    else:
+        distinct = stored(distinct, "distinct")
+        links = reduce(DataFrame.union, [_links(distinct, k, radius, blocks) for k in range(prints)])
+    roots = components(links)
+    firsts = distinct.select("node", "first")
+    grouped = roots.join(firsts, "node")
+    least = grouped.groupBy("root").agg(F.min("first").alias("least"))
+    labels = firsts.join(grouped.join(least, "root").select("node", "least"), "node", "left")
     # Stored, so that both sides of the last join are dealt anew and a frequent
     # fingerprint's rows can be split.
-    labels = stored(labels.select("fp", F.coalesce("least", "first").alias("component_id")), "labels")
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+    labels = stored(labels.select("node", F.coalesce("least", "first").alias("component_id")), "labels")
+    return marked.join(labels, "node").select("doc_id", "fps", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """The documents without all but the smallest id of each group; null ids stay."""
     found = near_duplicates(docs, doc_id=doc_id, **options)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(doc_id) == F.col("__gone"), "left_anti")
+    return docs.join(gone, F.col(f"`{doc_id}`") == F.col("__gone"), "left_anti")

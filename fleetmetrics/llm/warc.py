@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from fleetmetrics.llm.common import shuffle_partitions, stored
+from fleetmetrics.llm.common import map_batches, shuffle_partitions, stored
 
 ARCHIVE_BYTES = 64 << 20
 LEVEL = 6
@@ -166,7 +166,7 @@ def write_warc(
         archives.close()
         yield pa.RecordBatch.from_pylist(archives.done, schema)
 
-    return stored(joined.mapInArrow(written, LISTED), "archives")
+    return stored(map_batches(joined, written, LISTED), "archives")
 
 
 # -- reading ------------------------------------------------------------------
@@ -331,7 +331,7 @@ def read_warc(files: DataFrame, folder: str, with_payload: bool = True) -> DataF
         yield pa.RecordBatch.from_pylist(rows, schema)
 
     dealt = files.select("path").repartition(shuffle_partitions(files.sparkSession))
-    return dealt.mapInArrow(read, READ)
+    return map_batches(dealt, read, READ)
 
 
 def records(read: DataFrame) -> DataFrame:
