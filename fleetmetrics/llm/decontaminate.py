@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.common import blobs, map_column, stored
+from fleetmetrics.llm.common import blobs, free_name, map_column, stored
 
 WINDOW = 13
 SHARE = 20
@@ -176,13 +176,14 @@ def contamination(
 ) -> DataFrame:
     """`keep` and a struct `into`: n_words, n_hit, items (ids as sorted strings), spans
     (code points of the original text) and contaminated. A row per document."""
-    frame = docs.select(F.col(text).alias("__text"), *[F.col(f"`{c}`") for c in keep])
+    own = free_name(docs, "__text")
+    frame = docs.select(F.col(f"`{text}`").alias(own), *[F.col(f"`{c}`") for c in keep])
     names: list[str] = []
     count, blocks = item_blocks(benchmark, item_id, item_text, max_chars)
     for items in blocks:
-        name = f"__found{len(names)}"
+        name = free_name(frame, f"__found{len(names)}")
         last = len(names) == count - 1
-        frame = _scan(frame, items, "__text", window, [*keep, *names, *([] if last else ["__text"])], name)
+        frame = _scan(frame, items, own, window, [*keep, *names, *([] if last else [own])], name)
         names.append(name)
         frame = frame if last else stored(frame, "scanned")
     found = _combined([F.col(n) for n in names])

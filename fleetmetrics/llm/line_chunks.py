@@ -141,7 +141,7 @@ def dedup_lines(
 
 def _cleaned(joined: DataFrame, keep: list[str], text: str, gone: str, into: str) -> DataFrame:
     """The text is cut here and not in SQL: it keeps bytes and lines as the chunks saw them."""
-    fields = [f if f.name != text else T.StructField(text, T.StringType()) for f in joined.select(*keep).schema.fields]
+    fields = [f if f.name != text else T.StructField(text, T.StringType()) for f in joined.select(*[F.col(f"`{c}`") for c in keep]).schema.fields]
     span = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("past", T.IntegerType())]))
     made = T.StructType(
         [
@@ -170,5 +170,5 @@ def _cleaned(joined: DataFrame, keep: list[str], text: str, gone: str, into: str
             kept = [new if n == text else c for n, c in zip(keep, batch.columns[2:], strict=True)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(report, arrow)], names=[*keep, into])
 
-    sent = joined.select(F.col(f"`{text}`").alias("__text"), F.col(gone), *[F.col(f"`{c}`") for c in keep])
+    sent = joined.select(F.col(f"`{text}`").alias(free_name(joined, "__text")), F.col(gone), *[F.col(f"`{c}`") for c in keep])
     return map_batches(sent, cut, T.StructType([*fields, T.StructField(into, made)]))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.common import blobs, map_column, stored
+from fleetmetrics.llm.common import blobs, free_name, map_column, stored
 
 WORDS = 3
 RADIUS = 2
@@ -200,5 +200,6 @@ def near_duplicates(
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """The documents without all but the smallest id of each group; null ids stay."""
     found = near_duplicates(docs, doc_id=doc_id, **options)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{doc_id}`") == F.col("__gone"), "left_anti")
+    name = free_name(docs, "__gone")
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col(f"`{doc_id}`") == F.col(name), "left_anti")

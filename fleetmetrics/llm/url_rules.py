@@ -23,6 +23,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetmetrics.llm.common import free_name
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)\??([^#]*)"
 BLOCK_ITEM = "=block"
@@ -147,16 +149,16 @@ def judge(
     listed: Sequence[Listed] = LISTED,
 ) -> DataFrame:
     """`keep`, host, path, rule (listed, or null), mined (a mined rule, or null) and verdict; a row per page."""
-    found = match(pages, mined, url).toDF("__url", "__mined")
-    joined = pages.join(found, F.col(url) == F.col("__url"), "left")
+    same, rule = free_name(pages, "__url"), free_name(pages, "__mined")
     address = F.col(f"`{url}`")
-    fitting = joined.withColumn("__listed", listed_rule(address, listed))
-    by_method = F.when(F.col("__mined").isNotNull(), "block").otherwise("allow")
-    return fitting.select(
+    joined = pages.join(match(pages, mined, url).toDF(same, rule), address == F.col(same), "left")
+    fitting = listed_rule(address, listed)
+    by_method = F.when(F.col(rule).isNotNull(), "block").otherwise("allow")
+    return joined.select(
         *[F.col(f"`{c}`") for c in keep],
         host(address).alias("host"),
         path(address).alias("path"),
-        F.col("__listed.rule").alias("rule"),
-        F.col("__mined").alias("mined"),
-        F.coalesce("__listed.verdict", by_method).alias("verdict"),
+        fitting["rule"].alias("rule"),
+        F.col(rule).alias("mined"),
+        F.coalesce(fitting["verdict"], by_method).alias("verdict"),
     )

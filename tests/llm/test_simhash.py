@@ -1,0 +1,121 @@
+"""SimHash groups against all pairs."""
+
+import random
+
+import pytest
+import xxhash
+from llm import cases
+
+from fleetmetrics.llm import simhash
+
+
+def model_print(text: str | None, words: int = 3) -> int:
+    found = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for blank in "\t\n\x0b\x0c\r":
+        found = found.replace(blank, " ")
+    found = [w for w in found.split(" ") if w]
+    if not found:
+        return 0
+    width = min(words, len(found))
+    shingles = [" ".join(found[i : i + width]) for i in range(len(found) - width + 1)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def model_groups(prints: list[int], radius: int) -> list[int]:
+    group = list(range(len(prints)))
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= radius:
+                group[top(i)] = top(j)
+    return [top(i) for i in range(len(prints))]
+
+
+def expected(rows):
+    prints = [model_print(t) for _, t in rows]
+    roots = model_groups(prints, 2)
+    least = {}
+    for (doc, _), root in zip(rows, roots, strict=True):
+        if doc is not None:
+            least[root] = min(least.get(root, doc), doc)
+    return sorted(
+        [(doc, f"{p:016x}", least.get(r)) for (doc, _), p, r in zip(rows, prints, roots, strict=True)], key=repr
+    )
+
+
+def found(frame):
+    rows = simhash.near_duplicates(frame).collect()
+    return sorted([(r.doc_id, f"{r.fps[0] & (2**64 - 1):016x}", r.component_id) for r in rows], key=repr)
+
+
+def test_awkward_rows(spark):
+    rows = cases.awkward_texts()
+    assert found(cases.frame(spark, rows)) == expected(rows)
+
+
+def test_other_columns_do_not_matter(spark):
+    rows = cases.awkward_texts()
+    assert found(cases.with_clashes(cases.frame(spark, rows))) == expected(rows)
+
+
+def test_empty_table(spark):
+    assert simhash.near_duplicates(cases.frame(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize(("radius", "bucket"), [(2, 64), (2, 1), (4, 64), (4, 1)])
+def test_links_join_exactly_what_pairs_join(spark, monkeypatch, radius, bucket):
+    """With a bucket of one every candidate takes the way of crowded buckets."""
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    chance = random.Random(radius * 100 + bucket)
+    prints = [chance.getrandbits(64) for _ in range(12)]
+    for _ in range(60):
+        flipped = prints[chance.randrange(len(prints))]
+        for _ in range(chance.randint(1, 4)):
+            flipped ^= 1 << chance.randrange(64)
+        prints.append(flipped)
+    prints = sorted(set(prints))
+    nodes = [(simhash.signed(p),) for p in prints]
+    pairs = simhash.close_pairs(spark.createDataFrame(nodes, "fp long"), radius)
+    roots = {r.node: r.root for r in simhash.components(pairs).collect()}
+    got, want = {}, {}
+    for (node,), root in zip(nodes, model_groups(prints, radius), strict=True):
+        got.setdefault(roots.get(node, node), set()).add(node)
+        want.setdefault(root, set()).add(node)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_components_of_chains_and_hubs(spark):
+    chain = [(i, i + 1) for i in range(40)]
+    hub = [(100, i) for i in range(101, 160)] + [(159, 99)]
+    loops = [(7, 7), (3, 2), (2, 3)]
+    edges = spark.createDataFrame([*chain, *hub, *loops], "a long, b long")
+    roots = {r.node: r.root for r in simhash.components(edges).collect()}
+    assert roots == {i: 0 for i in range(41)} | {i: 99 for i in range(99, 160)}
+
+
+def test_several_prints_link_what_any_of_them_links(spark):
+    base = cases.prose(9, 400)
+    rows = [(i, cases.near_copy(base, i, 3)) for i in range(12)] + [(50, cases.prose(10, 400))]
+    kept = {r.doc_id for r in simhash.keep_one(cases.with_clashes(cases.frame(spark, rows)), prints=8).collect()}
+    assert kept == {0, 50}
+
+
+def test_keep_one_leaves_null_ids(spark):
+    rows = cases.awkward_texts()
+    kept = simhash.keep_one(cases.with_clashes(cases.frame(spark, rows)))
+    ids = sorted(((r.doc_id is None, r.doc_id or 0) for r in kept.collect()))
+    components = {e[2] for e in expected(rows) if e[0] is not None}
+    assert {i for none, i in ids if not none} == components
+    assert sum(none for none, _ in ids) == 2
+    assert kept.columns == cases.with_clashes(cases.frame(spark, rows)).columns
+
+
+def test_odd_radius_is_refused(spark):
+    with pytest.raises(ValueError):
+        simhash.close_pairs(spark.createDataFrame([], "fp long"), radius=3)
