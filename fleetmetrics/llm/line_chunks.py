@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.common import blobs, free_name, map_batches, map_column
+from fleetmetrics.llm.common import blobs, free_name, map_batches, map_column, stored
 
 LONG = 50
 LEAST = 20
@@ -117,7 +117,8 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.min("key").alias("one"), F.max("key").alias("other"), F.min("first").alias("a"), F.max("first").alias("b")
     )
     many = seen.filter("one <> other OR a <> b").select("digest")
-    shared = _chunked(rows, with_body=True).join(many, "digest", "left_semi")
+    # Used twice; written, so that all chunks are moved once and only the repeated ones again.
+    shared = stored(_chunked(rows, with_body=True).join(many, "digest", "left_semi"), "repeated")
     # The smallest id, then key and line; nulls last.
     order = F.struct(F.col("id").isNull().alias("none"), "id", "key", "first")
     kept = shared.groupBy("digest", "body").agg(F.min(order).alias("kept"))
