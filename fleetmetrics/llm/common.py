@@ -89,7 +89,7 @@ def map_column(
     `function` takes one Arrow column and gives a tuple per row. Rows stay in
     their partitions, a batch at a time.
     """
-    sent = frame.select(F.col(f"`{source}`").alias("__source"), *[F.col(f"`{c}`") for c in keep])
+    sent = frame.select(F.col(f"`{source}`").alias(free_name(frame, "__source")), *[F.col(f"`{c}`") for c in keep])
     schema = T.StructType([*sent.schema.fields[1:], *new])
     arrow = to_arrow_schema(T.StructType(list(new)))
 

@@ -45,6 +45,7 @@ HEADER = 1 << 20
 DATE = "2024-01-01T00:00:00Z"
 GZIP = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
+LINE = re.compile(rb"WARC/1\.\d\r\n")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = re.compile(r"<urn:x-page:(-?\d+)>")
 URI_SAFE = "%/:?#[]@!$&'()*+,;=~"
@@ -189,7 +190,7 @@ class Source:
 
 def member(source: Source, offset: int) -> tuple[bytes, int]:
     """Content and length of the gzip member here."""
-    inflate, parts, at = zlib.decompressobj(31), [], offset
+    inflate, parts, at, begin = zlib.decompressobj(31), [], offset, b""
     while not inflate.eof:
         chunk = source.at(at, STEP)
         if not chunk:
@@ -199,7 +200,8 @@ def member(source: Source, offset: int) -> tuple[bytes, int]:
             parts.append(inflate.decompress(chunk))
         except zlib.error as error:
             raise Damaged("broken member") from error
-        if at - offset <= STEP and not parts[0].startswith(VERSION):
+        begin = (begin + parts[-1])[: len(VERSION)]
+        if not VERSION.startswith(begin):
             raise Damaged("member without a version line")
     return b"".join(parts), at - len(inflate.unused_data) - offset
 
@@ -207,8 +209,10 @@ def member(source: Source, offset: int) -> tuple[bytes, int]:
 def header(data: bytes) -> tuple[dict[str, str], int]:
     """Fields by lower-case name, and where the block begins."""
     end = data.find(b"\r\n\r\n")
-    if not data.startswith(VERSION) or end < 0:
-        raise Damaged("no version line" if not data.startswith(VERSION) else "header without an end")
+    if not LINE.match(data):
+        raise Damaged("no version line")
+    if end < 0:
+        raise Damaged("header without an end")
     lines = data[:end].decode("utf-8", "replace").split("\r\n")[1:]
     fields = {n.strip().lower(): v.strip() for n, _, v in (line.partition(":") for line in lines)}
     if not fields.get("content-length", "").isdigit():

@@ -1,0 +1,30 @@
+"""The registered queries: SQL where there is some, counts of rows where not."""
+
+import compare
+import pytest
+
+from fleetmetrics.llm import oracles, queries
+from fleetmetrics.llm.common import table
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return compare.connection(SF_DIR)
+
+
+@pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
+def test_query_equals_oracle(spark, con, name):
+    assert compare.differences(queries.queries()[name](spark, SF_DIR), oracles.oracle_sql()[name], con) is None
+
+
+@pytest.mark.parametrize("name", [n for n in queries.queries() if n not in oracles.oracle_sql()])
+def test_a_row_for_each_row(spark, name):
+    source = "pages" if name in ("op2_url_rules", "op4_warc") else "documents"
+    made = queries.queries()[name](spark, SF_DIR)
+    key = "page_id" if source == "pages" else "doc_id"
+    ids = {r[0] for r in table(spark, SF_DIR, source).select(key).collect()}
+    rows = [r[key] for r in made.select(key).collect()]
+    assert set(rows) == ids
+    assert name == "op10_packing" or len(rows) == len(ids)
