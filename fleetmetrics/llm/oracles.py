@@ -1,5 +1,9 @@
 """The operators' results in DuckDB SQL, where SQL can express them on whole tables."""
 
+import re
+
+from fleetmetrics.llm import secret_index
+
 OP7 = r"""
 WITH rows AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -41,5 +45,61 @@ FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+#: Base 32 of a SHA-1: five hexadecimal digits are four of its digits.
+OP4 = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS h,
+    max(page_id) OVER (PARTITION BY payload) AS newest
+  FROM p
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(h, 1 + 5 * (i // 4)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = newest THEN NULL ELSE newest END AS refers_to
+FROM d
+"""
+
+
+def _either_case(pattern: str) -> str:
+    """(?i:...) spelled out: here it would also fold letters beyond ASCII."""
+    whole, inner = re.search(r"\(\?i:([^()]*)\)", pattern).group(0, 1)
+    return pattern.replace(whole, f"(?:{re.sub('[a-z]', lambda m: f'[{m[0].upper()}{m[0]}]', inner)})")
+
+
+def _op5() -> str:
+    found = []
+    for rank, rule in enumerate(secret_index.RULES):
+        pattern = _either_case(rule.pattern) if "(?i:" in rule.pattern else rule.pattern
+        quoted = pattern.replace("'", "''")
+        found.append(
+            f"SELECT r, {rank} AS rank, '{rule.kind}' AS kind, regexp_extract_all(t, '{quoted}') AS ms, "
+            f"list_transform(regexp_extract_all(t, '{quoted}', {rule.group}), lambda x: length(x) >= {rule.least}) AS fits, "
+            f"string_split_regex(t, '{quoted}') AS gaps FROM d WHERE regexp_matches(t, '{quoted}')"
+        )
+    base = ", ".join(f"'{r.kind}'" for r in secret_index.BASE)
+    counts = ", ".join(f"coalesce(count(*) FILTER (kind = '{r.kind}'), 0) AS n_{r.kind}" for r in secret_index.BASE)
+    kept = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secret_index.BASE)
+    one = "kind || ':' || a || ':' || b, ',' ORDER BY a, rank"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+matches AS ({" UNION ALL ".join(found)}),
+placed AS (
+  SELECT r, rank, kind, fits[i] AS fits, length(ms[i]) AS n,
+    list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS a
+  FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM matches)
+), spans AS (SELECT r, rank, kind, a::BIGINT AS a, (a + n)::BIGINT AS b FROM placed WHERE fits),
+listed AS (
+  SELECT r, {counts}, string_agg({one}) FILTER (kind IN ({base})) AS base, string_agg({one}) AS spans
+  FROM spans GROUP BY r
+)
+SELECT doc_id, {kept}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN listed USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op7_content_sort": OP7}
+    return {"op1_decontamination": OP1, "op4_warc": OP4, "op5_secret_index": _op5(), "op7_content_sort": OP7}
