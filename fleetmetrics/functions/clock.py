@@ -55,17 +55,23 @@ def tiles_the_hour(window_minutes: int) -> bool:
 def covering_windows(ts: Column, window_minutes: int) -> Column:
     """Array of the starts of all windows whose half-open range holds ``ts``.
 
-    There is exactly one when the length divides 60. Otherwise the overlap at
-    the hour, or a length above an hour, adds more. Candidates reach back as
-    many hours as a window is long.
+    There is exactly one when the length divides 60. Otherwise the hour's last
+    window overlaps the next hour, or windows longer than an hour overlap each
+    other: a fixed number of starts holds every moment, and one more those in
+    the first minutes of an hour.
     """
+    own = window_start(ts, window_minutes)
     if tiles_the_hour(window_minutes):
-        return F.array(window_start(ts, window_minutes))
+        return F.array(own)
     hour = window_start(ts, 60)
-    hours_back = range(-(-window_minutes // 60) + 1)
-    starts_in_hour = range(0, 60, window_minutes)
-    offsets = sorted({k - 60 * j for j in hours_back for k in starts_in_hour})
-    candidates = F.array(*[hour + minutes(offset) for offset in offsets])
-    return F.filter(
-        candidates, lambda s: (s <= ts) & (ts < s + minutes(window_minutes))
-    )
+    if window_minutes < 60:
+        last_start = 59 // window_minutes * window_minutes
+        always, further = [own], hour - minutes(60 - last_start)
+        overlap = last_start + window_minutes - 60
+    else:
+        hours, overlap = divmod(window_minutes, 60)
+        always = [hour - minutes(60 * back) for back in reversed(range(hours))]
+        further = hour - minutes(60 * hours)
+    if not overlap:
+        return F.array(*always)
+    return F.when(F.minute(ts) < overlap, F.array(further, *always)).otherwise(F.array(*always))

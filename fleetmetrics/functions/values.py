@@ -4,7 +4,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-INT_LIMIT = 2147483647.5
+# Half a step beyond the INT range, where rounding would leave it.
+INT_LOW, INT_HIGH = -2147483648.5, 2147483647.5
 
 
 def number_or_null(text: Column) -> Column:
@@ -31,7 +32,7 @@ def timestamp_or_null(text: Column) -> Column:
 
 def fits_int(value: Column) -> Column:
     """The value when it rounds to an INT, otherwise null."""
-    return F.when(F.abs(value) < INT_LIMIT, value)
+    return F.when((value > INT_LOW) & (value < INT_HIGH), value)
 
 
 def rounded_int(value: Column) -> Column:

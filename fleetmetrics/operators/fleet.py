@@ -130,21 +130,40 @@ def select_machine(view: DataFrame, selected: str | None) -> DataFrame:
     return view if resolved == ALL_MACHINES else machine_series(view, resolved)
 
 
-def _newest(*columns: str) -> Column:
-    """Values of the last window; of two with one start, of the later end."""
-    return F.max_by(F.struct(*columns), F.struct("WindowStart", "WindowEnd"))
+def _moment(column: str) -> Column:
+    """Whole seconds of a zone-free timestamp."""
+    clock = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+    return F.datediff(column, F.lit("1970-01-01")).cast("long") * 86400 + clock
+
+
+def _newest(*columns: str) -> list[Column]:
+    """Values of the last window; of two with one start, of the later end.
+
+    Start and length make one number, and there is one ``max_by`` per column:
+    values of fixed width keep this a hash aggregation. Windows start at whole
+    seconds and are shorter than 34 years.
+    """
+    length = F.coalesce(_moment("WindowEnd") - _moment("WindowStart"), F.lit(0))
+    order = F.shiftleft(_moment("WindowStart"), 30) + length
+    return [F.max_by(c, order).alias(c) for c in columns]
 
 
 def latest_per_machine(view: DataFrame) -> DataFrame:
     columns = [c for c in view.columns if c != "Machine"]
-    newest = view.groupBy("Machine").agg(_newest(*columns).alias("row"))
-    return newest.select("Machine", "row.*").select(*view.columns)
+    return view.groupBy("Machine").agg(*_newest(*columns)).select(*view.columns)
+
+
+def _alerts(view: DataFrame) -> DataFrame:
+    """One row per machine: whether its latest window is in alert; unknown is not."""
+    newest = view.groupBy("Machine").agg(*_newest("TemperatureAlert"))
+    return newest.select(
+        "Machine", F.coalesce("TemperatureAlert", F.lit(False)).alias("TemperatureAlert")
+    )
 
 
 def machines_in_alert(view: DataFrame) -> DataFrame:
     """Machines whose latest window is in alert; an unknown flag is none."""
-    newest = view.groupBy("Machine").agg(_newest("TemperatureAlert").alias("row"))
-    return newest.filter(F.coalesce("row.TemperatureAlert", F.lit(False))).select("Machine")
+    return _alerts(view).filter("TemperatureAlert").select("Machine")
 
 
 def machine_kpis(view: DataFrame) -> DataFrame:
@@ -153,15 +172,11 @@ def machine_kpis(view: DataFrame) -> DataFrame:
     grouped = view.groupBy("Machine").agg(
         F.coalesce(F.sum("Records"), F.lit(0)).alias("TotalRecords"),
         F.count("*").alias("Windows"),
-        _newest(*latest, "TemperatureAlert", "ProcessingDate").alias("row"),
+        *_newest(*latest, "TemperatureAlert", "ProcessingDate"),
     )
-    return grouped.select(
-        "Machine",
-        "TotalRecords",
-        "Windows",
-        *[F.col(f"row.{c}").alias(c) for c in latest],
-        F.coalesce("row.TemperatureAlert", F.lit(False)).alias("TemperatureAlert"),
-        F.col("row.ProcessingDate").alias("ProcessingDate"),
+    alert = F.coalesce("TemperatureAlert", F.lit(False))
+    return grouped.withColumn("TemperatureAlert", alert).select(
+        "Machine", "TotalRecords", "Windows", *latest, "TemperatureAlert", "ProcessingDate"
     )
 
 
@@ -175,9 +190,9 @@ def fleet_kpis(view: DataFrame) -> DataFrame:
         F.sum("Records").alias("records"),
         F.count("*").alias("windows"),
         F.max("ProcessingDate").alias("processed"),
-        _newest("TemperatureAlert").alias("row"),
+        *_newest("TemperatureAlert"),
     )
-    alert = F.coalesce("row.TemperatureAlert", F.lit(False))
+    alert = F.coalesce("TemperatureAlert", F.lit(False))
     return machines.agg(
         F.coalesce(F.sum("records"), F.lit(0)).alias("TotalRecords"),
         F.coalesce(F.sum("windows"), F.lit(0)).alias("Windows"),
@@ -211,12 +226,10 @@ def machine_legend(view: DataFrame, colors: int = SERIES_COLORS) -> DataFrame:
 
     The ranking runs over one row per machine, not over windows.
     """
-    newest = view.groupBy("Machine").agg(_newest("TemperatureAlert").alias("row"))
-    alert = F.coalesce("row.TemperatureAlert", F.lit(False))
     rank = F.row_number().over(Window.orderBy("Machine")) - 1
-    return newest.select(
+    return _alerts(view).select(
         "Machine",
-        F.when(alert, F.concat(F.lit(ALERT_MARK), "Machine"))
+        F.when(F.col("TemperatureAlert"), F.concat(F.lit(ALERT_MARK), "Machine"))
         .otherwise(F.col("Machine"))
         .alias("Legend"),
         (rank % colors).alias("ColorIndex"),

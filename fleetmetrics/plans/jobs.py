@@ -7,13 +7,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmetrics.functions.clock import ntz
-from fleetmetrics.operators.decode import classify_messages
+from fleetmetrics.functions.clock import minutes, ntz
+from fleetmetrics.operators.decode import CONSTRAINT, classify_messages
 from fleetmetrics.operators.ingest import (
     assign_source_ids,
     idempotent_append,
     incremental_scan,
     load_readings,
+    raw_violation,
 )
 from fleetmetrics.operators.merge import stamp_cursors, upsert_control
 from fleetmetrics.operators.windows import (
@@ -39,10 +40,10 @@ from fleetmetrics.sources.store import (
     TelemetryStore,
 )
 
-# Window starts brought to the driver to prune the re-read; beyond it, only
-# their range is used. Either way the exact join follows.
-MAX_STARTS = 5_000
-MAX_RANGES = 16
+# Days with affected windows up to which their time bounds are pushed into the
+# scan; with more, whole days are picked while the query runs. No other day is
+# read either way.
+PUSHED_DAYS = 200
 # Readings further ahead than this are left to the scan of their own date.
 NEAR_FUTURE = timedelta(days=1)
 
@@ -51,6 +52,7 @@ NEAR_FUTURE = timedelta(days=1)
 class IngestCounts:
     found: int
     inserted: int
+    rejected: int = 0
 
 
 @dataclass(frozen=True)
@@ -62,34 +64,23 @@ class RefreshCounts:
 # -- messages -> buffer -------------------------------------------------------
 
 
-def _already_done(manifest: Manifest, source: str, source_batch: int | None) -> bool:
-    done = manifest.state.get("sources", {}).get(source, -1)
-    return source_batch is not None and source_batch <= done
-
-
-def _sources(manifest: Manifest, source: str, source_batch: int | None) -> dict:
-    known = manifest.state.get("sources", {})
-    return known if source_batch is None else {**known, source: source_batch}
-
-
-def _with_run(runs: list, batch_id: int) -> list:
-    if runs and runs[-1][1] == batch_id - 1:
-        return [*runs[:-1], [runs[-1][0], batch_id]]
-    return [*runs, [batch_id, batch_id]]
+def _already_done(manifest: Manifest, source: str, source_batch: int) -> bool:
+    return source_batch <= manifest.state.get("sources", {}).get(source, -1)
 
 
 def receive_messages(
     store: TelemetryStore,
     messages: DataFrame,
-    source: str = "batch",
-    source_batch: int | None = None,
+    source: str,
+    source_batch: int,
     value: str = "value",
 ) -> int:
     """Decode messages into the buffer and the quarantine; returns rows accepted.
 
     One write holds both outcomes. The accepted rows are numbered from the
-    written files, so a repeated task cannot change an id. A ``source_batch``
-    that is already in the log is skipped.
+    written files, so a repeated task cannot change an id. A source numbers
+    its batches upwards; one that is already in the log is skipped, so the same
+    messages given twice under one number count once.
     """
     manifest = store.manifest(READINGS_LOG)
     if _already_done(manifest, source, source_batch):
@@ -107,22 +98,31 @@ def receive_messages(
     store.write("buffer", numbered, batch_id)
     added, found = store.describe("buffer", batch_id)
     state = {
-        "staged": _with_run(manifest.state.get("staged", []), batch_id),
-        "sources": _sources(manifest, source, source_batch),
+        "staged": True,
+        "sources": {**manifest.state.get("sources", {}), source: source_batch},
         "max_id": base + found["rows"],
     }
-    store.commit(READINGS_LOG, manifest.extended(*([added] if added else []), **state))
+    _commit(store, READINGS_LOG, manifest.extended(*([added] if added else []), **state))
     return found["rows"]
 
 
 # -- buffer -> raw ------------------------------------------------------------
 
 
+def _commit(store: TelemetryStore, log: str, manifest: Manifest) -> None:
+    """Commit, and merge small batches when enough have gathered."""
+    store.commit(log, manifest)
+    store.compact(log, manifest=manifest)
+
+
 def _extent(rows: DataFrame):
-    """Count and id range, from the id column alone."""
+    """Count and id range of typed rows, and how many the raw table refuses."""
     source = F.col("nSourceId")
     return rows.agg(
-        F.count("*").alias("found"), F.min(source).alias("low"), F.max(source).alias("high")
+        F.count("*").alias("found"),
+        F.min(source).alias("low"),
+        F.max(source).alias("high"),
+        F.count_if(raw_violation().isNotNull()).alias("refused"),
     ).first()
 
 
@@ -130,19 +130,31 @@ def append_raw(store: TelemetryStore, manifest: Manifest, rows: DataFrame, exten
     """Insert rows not yet in the raw table; returns the inserted count.
 
     Only raw batches that reach into the rows' id range are looked at. After an
-    incremental scan there are none, and the plan has no join.
+    incremental scan there are none, and the plan has no join. Rows that break
+    a rule of the table go to the quarantine, and the cursor passes them.
     """
     extent = extent or _extent(rows)
     if not extent.found:
         return 0
-    low, high = extent.low, extent.high
+    low, high = extent.low or 0, extent.high or 0
     overlapping = tuple(b for b in manifest.batches if b.max_id >= low and b.min_id <= high)
     existing = store.open("raw", overlapping).filter(F.col("nSourceId").between(low, high))
     batch_id = manifest.next_id
+    state = {"cursor": max(high, manifest.state.get("cursor", 0))}
+    if extent.refused:
+        refused = rows.withColumn("reject_field", raw_violation()).filter("reject_field IS NOT NULL")
+        body = F.to_json(F.struct(*RAW.fieldNames()), {"ignoreNullFields": "false"})
+        store.write(
+            "rejected",
+            refused.select(body.alias("value"), F.lit(CONSTRAINT).alias("reject_reason"), "reject_field"),
+            batch_id,
+        )
+        rows = rows.filter(raw_violation().isNull())
+        state["rejected"] = True
     store.write("raw", idempotent_append(existing, rows).select(*RAW.fieldNames()), batch_id)
     added, found = store.describe("raw", batch_id)
-    if added:
-        store.commit(INGEST_LOG, manifest.extended(added))
+    if added or extent.refused:
+        _commit(store, INGEST_LOG, manifest.extended(*([added] if added else []), **state))
     return found["rows"]
 
 
@@ -150,17 +162,17 @@ def ingest(store: TelemetryStore, as_of: datetime, source: DataFrame | None = No
     """Copy buffer rows after the cursor to the raw table.
 
     The cursor comes from the manifest, not from a scan of the raw table.
-    ``source`` replaces the store's own buffer.
+    ``source`` replaces the store's own buffer; its numbers and dates may be text.
     """
     manifest = store.manifest(INGEST_LOG)
-    cursor = manifest.max_id
+    cursor = max(manifest.max_id, manifest.state.get("cursor", 0))
     if source is None:
         fresh = tuple(b for b in store.manifest(READINGS_LOG).batches if b.max_id > cursor)
         source = store.open("buffer", fresh)
-    scanned = incremental_scan(source, cursor)
-    extent = _extent(scanned)
-    inserted = append_raw(store, manifest, load_readings(scanned, as_of), extent)
-    return IngestCounts(extent.found, inserted)
+    loaded = load_readings(incremental_scan(source, cursor), as_of)
+    extent = _extent(loaded)
+    inserted = append_raw(store, manifest, loaded, extent)
+    return IngestCounts(extent.found, inserted, extent.refused)
 
 
 # -- raw -> metrics -----------------------------------------------------------
@@ -190,11 +202,11 @@ def _candidate_scan(
             (F.col("event_date") >= F.lit(bound.date())) & (F.col("dtInsert") >= ntz(bound))
         )
     low, seen = state["low_water"], state["loaded"]
-    recent = store.open(
-        "raw", tuple(b for b in loaded.batches if b.origin > seen or b.max_id >= low)
-    )
-    late_origin = [b.batch_id for b in loaded.batches if b.origin > seen]
-    recent = recent.filter((F.col("nSourceId") >= low) | F.col("batch_id").isin(late_origin))
+    # Two scans, so that the id bound of the second reaches Parquet statistics:
+    # a compacted batch that reaches the mark is not read whole.
+    loads = store.open("raw", tuple(b for b in loaded.batches if b.origin > seen))
+    reaching = tuple(b for b in loaded.batches if b.origin <= seen and b.max_id >= low)
+    recent = loads.unionByName(store.open("raw", reaching).filter(F.col("nSourceId") >= low))
 
     since = datetime.fromisoformat(state["as_of"]) + NEAR_FUTURE
     until = as_of + NEAR_FUTURE + timedelta(minutes=window_minutes)
@@ -218,45 +230,39 @@ def _candidate_scan(
     return recent.unionByName(ahead)
 
 
-def merge_ranges(
-    starts: list[datetime], window_minutes: int, most: int = MAX_RANGES
-) -> list[tuple[datetime, datetime]]:
-    """At most ``most`` time ranges that hold all the windows.
-
-    Touching windows merge; then the smallest gaps are bridged.
-    """
-    length = timedelta(minutes=window_minutes)
-    ranges: list[tuple[datetime, datetime]] = []
-    for start in sorted(starts):
-        if ranges and start <= ranges[-1][1]:
-            ranges[-1] = (ranges[-1][0], max(ranges[-1][1], start + length))
-        else:
-            ranges.append((start, start + length))
-    gaps = sorted(range(1, len(ranges)), key=lambda i: ranges[i - 1][1] - ranges[i][0])
-    splits = sorted(gaps[: most - 1])
-    bounds = [0, *splits, len(ranges)]
-    return [(ranges[a][0], ranges[b - 1][1]) for a, b in zip(bounds, bounds[1:]) if a < b]
+def _affected_days(affected: DataFrame, window_minutes: int) -> DataFrame:
+    """A row per day that an affected window touches, with the windows' bounds on it."""
+    start = F.col("dtWindowStart")
+    end = start + minutes(window_minutes)
+    last = F.to_date(end - F.expr("INTERVAL '0.000001' SECOND"))
+    days = affected.select(
+        start.alias("low"), end.alias("high"), F.explode(F.sequence(F.to_date(start), last)).alias("day")
+    )
+    return days.groupBy("day").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def _prune_to_windows(
     readings: DataFrame, affected: DataFrame, window_minutes: int
 ) -> DataFrame | None:
-    """Readings in the time ranges of the affected windows; None without any."""
-    distinct = affected.select("dtWindowStart").distinct()
-    starts = [r.dtWindowStart for r in distinct.limit(MAX_STARTS + 1).collect()]
-    if not starts:
+    """Readings of the days and hours of the affected windows; None without any.
+
+    The driver sees one row per affected day.
+    """
+    days = _affected_days(affected, window_minutes)
+    rows = days.collect()
+    if not rows:
         return None
-    if len(starts) > MAX_STARTS:
-        edge = distinct.agg(F.min("dtWindowStart"), F.max("dtWindowStart")).first()
-        ranges = [(edge[0], edge[1] + timedelta(minutes=window_minutes))]
-    else:
-        ranges = merge_ranges(starts, window_minutes)
+    if len(rows) > PUSHED_DAYS:
+        picked = days.select(F.col("day").alias("event_date"), "low", "high")
+        inside = (F.col("dtInsert") >= F.col("low")) & (F.col("dtInsert") < F.col("high"))
+        joined = readings.join(F.broadcast(picked), "event_date").filter(inside)
+        return joined.select(*readings.columns)
     wanted = F.lit(False)
-    for low, high in ranges:
+    for row in rows:
         wanted = wanted | (
-            F.col("event_date").between(F.lit(low.date()), F.lit(high.date()))
-            & (F.col("dtInsert") >= ntz(low))
-            & (F.col("dtInsert") < ntz(high))
+            (F.col("event_date") == F.lit(row.day))
+            & (F.col("dtInsert") >= ntz(row.low))
+            & (F.col("dtInsert") < ntz(row.high))
         )
     return readings.filter(wanted)
 
@@ -305,10 +311,9 @@ def refresh_metrics(
         advanced = store.written("control", batch_id)
 
         low_water = _low_water(pending, control, advanced, loaded, as_of)
-        store.commit(
-            REFRESH_LOG,
-            refreshed.extended(added, control=batch_id, low_water=low_water, **state),
-        )
+        batches = [added] if added else []
+        state |= {"control": batch_id, "low_water": low_water}
+        _commit(store, REFRESH_LOG, refreshed.extended(*batches, **state))
         return RefreshCounts(found["rows"], found["machines"])
     finally:
         pending.unpersist()

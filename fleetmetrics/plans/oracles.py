@@ -115,32 +115,26 @@ def _refresh(
   FROM {name}_closed GROUP BY strMachineName)"""
 
 
+# The columns of the metrics table under their display names.
+VIEW_COLUMNS = """
+  strMachineName AS Machine, dtWindowStart AS WindowStart, dtWindowEnd AS WindowEnd,
+  nFirstSourceId AS FirstSourceId, nLastSourceId AS LastSourceId, nRecords AS Records,
+  fAverageCurrent AS AverageCurrent, fMinimumCurrent AS MinimumCurrent,
+  fMaximumCurrent AS MaximumCurrent, fAverageVoltage AS AverageVoltage,
+  fMinimumVoltage AS MinimumVoltage, fMaximumVoltage AS MaximumVoltage,
+  fAverageTemperature AS AverageTemperature, nMinimumTemperature AS MinimumTemperature,
+  nMaximumTemperature AS MaximumTemperature, bTemperatureAlert AS TemperatureAlert,
+  dtProcessing AS ProcessingDate"""
+
+
 def _finished(name: str, readings: str, threshold: int = 85) -> str:
     """Metrics of every window, and the same under the display names."""
-    renamed = ", ".join(
-        f"{c} AS {a}"
-        for c, a in [
-            ("strMachineName", "Machine"),
-            ("dtWindowStart", "WindowStart"),
-            ("dtWindowEnd", "WindowEnd"),
-            ("nFirstSourceId", "FirstSourceId"),
-            ("nLastSourceId", "LastSourceId"),
-            ("nRecords", "Records"),
-            *[
-                (f"{p}{s}{m}", f"{s}{m}")
-                for m, n in (("Current", "f"), ("Voltage", "f"), ("Temperature", "n"))
-                for p, s in (("f", "Average"), (n, "Minimum"), (n, "Maximum"))
-            ],
-            ("bTemperatureAlert", "TemperatureAlert"),
-            ("dtProcessing", "ProcessingDate"),
-        ]
-    )
     return f"""
 {name} AS (
   SELECT m.*, nMaximumTemperature >= {threshold} AS bTemperatureAlert,
          dtWindowEnd + INTERVAL 75 SECOND AS dtProcessing
   FROM ({_aggregate(_every_window(readings), readings, digits=None)}) m),
-{name}_view AS (SELECT {renamed} FROM {name}),
+{name}_view AS (SELECT {VIEW_COLUMNS} FROM {name}),
 {name}_last AS (
   SELECT * FROM {name}_view v WHERE NOT EXISTS (
     SELECT 1 FROM {name}_view w WHERE w.Machine = v.Machine AND w.WindowStart > v.WindowStart))"""
@@ -172,6 +166,17 @@ early AS (SELECT * FROM cadence WHERE nSourceId <= (SELECT id FROM half)),
 {_refresh("one", "early", "no_control", "(SELECT max(dtInsert) FROM early)")},
 {_refresh("two", "cadence", "one_cursors", NOW)}"""
 
+NIGHT = "(SELECT date_trunc('day', max(ts)) + INTERVAL 30 MINUTE FROM events)"
+
+# Readings of the second half whose window had ended by the watermark of the first.
+KEPT = f"""
+kept AS (
+  SELECT * FROM cadence
+  WHERE nSourceId <= (SELECT id FROM half)
+     OR {_start('dtInsert', 2)} + INTERVAL 2 MINUTE
+        > (SELECT max(dtInsert) FROM cadence WHERE nSourceId <= (SELECT id FROM half))
+          - INTERVAL 15 SECOND)"""
+
 STATUS = """
 fleet AS (
   SELECT count(DISTINCT Machine) AS machines, count(*) AS windows,
@@ -249,6 +254,15 @@ def oracle_sql() -> dict[str, str]:
         "ingest_job": _query(
             f"SELECT * REPLACE ({NOW} AS dtLoad) FROM cadence"
         ),
+        "ingest_text_buffer": _query(
+            f"SELECT * REPLACE ({NOW} AS dtLoad) FROM cadence WHERE nSourceId % 40 NOT BETWEEN 1 AND 5"
+        ),
+        "ingest_text_refused": _query(
+            """SELECT nId, CASE nId % 40 WHEN 1 THEN 'dtInsert' WHEN 2 THEN 'strMachineName'
+                 WHEN 3 THEN 'fCurrent' WHEN 4 THEN 'nTemperature' ELSE 'strMachineName' END
+                 AS reject_field
+               FROM cadence_buffer WHERE nId % 40 BETWEEN 1 AND 5"""
+        ),
         "assign_windows": _query(
             f"""SELECT nSourceId, strMachineName, dtInsert, {_start('dtInsert', 2)} AS dtStart2,
                   {_start('dtInsert', 7)} AS dtStart7
@@ -337,6 +351,11 @@ def oracle_sql() -> dict[str, str]:
                 WHERE WindowStart >= {NOW} - INTERVAL 60 MINUTE""",
             DONE,
         ),
+        "period_view_store": _query(
+            f"""SELECT {ROUND_VIEW} FROM (SELECT {VIEW_COLUMNS} FROM run_metrics)
+                WHERE WindowStart >= {NIGHT} - INTERVAL 60 MINUTE""",
+            _refresh("run", "native", "no_control", NIGHT),
+        ),
         "period_rollup": _query(
             " UNION ALL ".join(
                 f"""SELECT CAST({p} AS INTEGER) AS PeriodMinutes, '{label}' AS Label,
@@ -449,7 +468,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_refresh": _query("SELECT * FROM run_metrics", FIRST),
         "stream_window_native": _query(
-            f"""SELECT * FROM ({_aggregate(_every_window('cadence'), 'cadence')})
-                WHERE dtWindowEnd <= {NOW} - INTERVAL 15 SECOND"""
+            f"""SELECT * FROM ({_aggregate(_every_window('kept'), 'kept')})
+                WHERE dtWindowEnd <= {NOW} - INTERVAL 15 SECOND""",
+            KEPT,
         ),
     }

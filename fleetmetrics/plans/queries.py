@@ -96,6 +96,38 @@ def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.raw()
 
 
+def _text_buffer(spark: SparkSession, sf_dir: str) -> TelemetryStore:
+    """A store after loading a buffer with dates as text and every eighth row broken."""
+    store = TelemetryStore.create(spark, scratch_folder(spark, "text"))
+    buffer = fixtures.cadence_buffer(fixtures.events(spark, sf_dir))
+    as_of = fixtures.latest_reading(fixtures.cadence(spark, sf_dir))
+    turn = F.col("nId") % 40
+    date = F.date_format("dtInsert", "yyyy-MM-dd HH:mm:ss")
+    long_name = F.when(turn == 5, F.repeat(F.lit("M"), F.lit(101))).otherwise(F.col("strMachineName"))
+    text = buffer.withColumns(
+        {
+            "dtInsert": F.when(turn == 1, "2024-13-45 99:00:00").otherwise(date),
+            "strMachineName": F.when(turn != 2, long_name),
+            "fA": F.when(turn != 3, F.col("fA")),
+            "nTemperature": F.when(turn == 4, F.lit(3.0e9)).otherwise(F.col("nTemperature")),
+        }
+    )
+    jobs.ingest(store, as_of, text)
+    return store
+
+
+def ingest_text_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What reached the raw table."""
+    return _text_buffer(spark, sf_dir).raw()
+
+
+def ingest_text_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What went to the quarantine instead, with the column at fault."""
+    refused = _text_buffer(spark, sf_dir).quarantine()
+    number = F.get_json_object("value", "$.nSourceId").cast("long")
+    return refused.select(number.alias("nId"), "reject_field")
+
+
 # -- window metrics -----------------------------------------------------------
 
 
@@ -239,6 +271,16 @@ def metrics_last_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(fleet.metrics_last_period(_finished(spark, sf_dir), now))
 
 
+def period_view_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last hour at half past midnight, read from a store after a refresh."""
+    store = TelemetryStore.create(spark, scratch_folder(spark, "period"))
+    raw = fixtures.native(spark, sf_dir)
+    night = fixtures.latest_reading(raw).replace(hour=0, minute=30, second=0, microsecond=0)
+    jobs.append_raw(store, store.manifest(INGEST_LOG), raw)
+    jobs.refresh_metrics(store, night)
+    return _rounded(store.period_view(night, 60))
+
+
 def period_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fixtures.native(spark, sf_dir)
     return fleet.period_rollup(fixtures.finished_metrics(raw), fixtures.latest_reading(raw))
@@ -363,14 +405,19 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_window_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two micro-batches in arrival order; late rows of the second are dropped."""
     folder = scratch_folder(spark, "stream-native")
-    readings = fixtures.as_raw(fixtures.cadence_buffer(_event_stream(spark, sf_dir)))
-    _finish(
-        streams.stream_native_windows(
-            readings, f"{folder}/windows", f"{folder}/checkpoint", trigger=AVAILABLE_NOW
+    raw = fixtures.cadence(spark, sf_dir)
+    first = F.col("nSourceId") <= fixtures.half_way(raw)
+    for part in (first, ~first):
+        raw.filter(part).write.mode("append").parquet(f"{folder}/arrived")
+        readings = spark.readStream.schema(raw.schema).parquet(f"{folder}/arrived")
+        _finish(
+            streams.stream_native_windows(
+                readings, f"{folder}/windows", f"{folder}/checkpoint", trigger=AVAILABLE_NOW
+            )
         )
-    )
-    schema = streams.native_windows(fixtures.cadence(spark, sf_dir)).schema
+    schema = streams.native_windows(raw).schema
     return _rounded(spark.read.schema(schema).parquet(f"{folder}/windows"))
 
 
@@ -385,6 +432,8 @@ CATALOGUE: tuple[Query, ...] = (
     temperature_rounding,
     idempotent_append,
     ingest_job,
+    ingest_text_buffer,
+    ingest_text_refused,
     assign_windows,
     candidate_readings,
     candidate_readings_native,
@@ -404,6 +453,7 @@ CATALOGUE: tuple[Query, ...] = (
     upsert_control,
     late_recompute,
     metrics_last_period,
+    period_view_store,
     period_rollup,
     machine_list,
     machine_series,

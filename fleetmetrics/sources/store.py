@@ -12,13 +12,14 @@ rotate over a few slots: the one overwritten is never the newest.
 
 import json
 from dataclasses import asdict, dataclass, field, replace
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetmetrics.operators.fleet import last_period
 from fleetmetrics.operators.merge import latest_metrics
 from fleetmetrics.schemas import BUFFER, CONTROL, METRICS, QUARANTINE, RAW
 from fleetmetrics.session import empty
@@ -45,11 +46,15 @@ TABLES = {
     "raw": _with(RAW, _BATCH, ("event_date", T.DateType())),
     "metrics": _with(METRICS, _BATCH, ("window_date", T.DateType())),
     "control": _with(CONTROL, _BATCH),
+    "rejected": _with(QUARANTINE, _BATCH),
 }
 ID_COLUMN = {"buffer": "nId", "raw": "nSourceId", "metrics": "nLastSourceId"}
 DATE_COLUMN = {"raw": "event_date", "metrics": "window_date"}
 TIME_COLUMN = {"raw": "dtInsert", "metrics": "dtWindowStart"}
 LOG_TABLE = {READINGS_LOG: "buffer", INGEST_LOG: "raw", REFRESH_LOG: "metrics"}
+# Written beside a log's table under the same batch ids; any id up to the
+# snapshot is live, so these need no list.
+SIDE_TABLE = {READINGS_LOG: "staged", INGEST_LOG: "rejected"}
 
 
 @dataclass(frozen=True)
@@ -150,15 +155,18 @@ class TelemetryStore:
         return self.open("buffer", batches).select(*BUFFER.fieldNames())
 
     def quarantine(self) -> DataFrame:
-        """Rejected messages of the committed batches, kept as runs of ids."""
-        runs = self.manifest(READINGS_LOG).state.get("staged", [])
-        if not runs:
-            return empty(self.spark, QUARANTINE)
-        committed = F.lit(False)
-        for first, last in runs:
-            committed = committed | F.col("batch_id").between(first, last)
-        staged = self.spark.read.schema(TABLES["staged"]).parquet(f"{self.root}/staged")
-        return staged.filter(committed & F.col("rejected")).select(*QUARANTINE.fieldNames())
+        """Messages and loaded rows that were rejected, of committed batches."""
+        found = empty(self.spark, QUARANTINE)
+        for log, table in SIDE_TABLE.items():
+            manifest = self.manifest(log)
+            if not manifest.state.get(table):
+                continue
+            side = self.spark.read.schema(TABLES[table]).parquet(f"{self.root}/{table}")
+            live = side.filter(F.col("batch_id") <= manifest.snapshot)
+            if table == "staged":
+                live = live.filter("rejected")
+            found = found.unionByName(live.select(*QUARANTINE.fieldNames()))
+        return found
 
     def raw(self) -> DataFrame:
         batches = self.manifest(INGEST_LOG).batches
@@ -174,6 +182,11 @@ class TelemetryStore:
             log = log.filter(F.col("window_date") >= F.lit(since))
         return latest_metrics(log)
 
+    def period_view(self, local_now: datetime, period_minutes: int) -> DataFrame:
+        """The fleet view of the windows that start within the period before now."""
+        since = (local_now - timedelta(minutes=int(period_minutes))).date()
+        return last_period(self.metrics(since), local_now, period_minutes)
+
     def control(self, manifest: Manifest | None = None) -> DataFrame:
         """Each refresh writes the whole control table: one row per machine."""
         state = (manifest or self.manifest(REFRESH_LOG)).state
@@ -189,6 +202,7 @@ class TelemetryStore:
         narrow time ranges that a scan can skip by their statistics, and a hot
         day is split over many tasks.
         """
+        self._check(table, rows)
         target = self.path(table, batch_id)
         if table in DATE_COLUMN:
             time, day = TIME_COLUMN[table], DATE_COLUMN[table]
@@ -198,6 +212,15 @@ class TelemetryStore:
         else:
             rows.write.mode("overwrite").parquet(target)
 
+    def _check(self, table: str, rows: DataFrame) -> None:
+        """Refuse rows that later reads of the table could not take."""
+        own = ("batch_id", DATE_COLUMN.get(table))
+        wanted = {f.name: f.dataType for f in TABLES[table].fields if f.name not in own}
+        given = {f.name: f.dataType for f in rows.schema.fields}
+        if given != wanted:
+            wrong = sorted(n for n in {**wanted, **given} if given.get(n) != wanted.get(n))
+            raise TypeError(f"{table}: wrong, missing or unknown columns {', '.join(wrong)}")
+
     def written(self, table: str, batch_id: int) -> DataFrame:
         return self.open(table, [batch_id])
 
@@ -229,27 +252,98 @@ class TelemetryStore:
 
     # -- upkeep --------------------------------------------------------------
 
-    def compact(self, log: str, max_rows: int = 50_000_000, min_batches: int = 32) -> bool:
-        """Merge the newest run of small batches into one.
-
-        Large batches are left alone, so history is not rewritten each time.
-        Run it from the log's single writer. Replaced folders stay on disk
-        for readers that opened them before.
+    def compact(
+        self,
+        log: str,
+        max_rows: int = 50_000_000,
+        min_batches: int = 32,
+        manifest: Manifest | None = None,
+    ) -> bool:
+        """Merge a run of at least ``min_batches`` adjacent small batches into one.
+
+        Large batches are left alone, so history is not rewritten each time. Of
+        the metrics log only the newest run is merged: there the newest batch
+        wins. The log's own jobs call this after each commit with the manifest
+        they wrote; without a run it costs nothing. Replaced folders stay on
+        disk for readers that opened them before, until ``expire``.
         """
-        manifest = self.manifest(log)
-        small: list[Batch] = []
-        for batch in reversed(manifest.batches):
+        manifest = manifest or self.manifest(log)
+        table = LOG_TABLE[log]
+        runs: list[list[Batch]] = [[]]
+        for batch in manifest.batches:
             if batch.rows >= max_rows:
-                break
-            small.insert(0, batch)
-        if len(small) < min_batches:
+                runs.append([])
+            else:
+                runs[-1].append(batch)
+        if table == "metrics":
+            runs = runs[-1:]
+        run = next((r for r in runs if len(r) >= min_batches), None)
+        if run is None:
             return False
-        table = LOG_TABLE[log]
-        rows = self.open(table, tuple(small))
+        rows = self.open(table, tuple(run))
         if table == "metrics":
             rows = latest_metrics(rows)
         self.write(table, rows.drop("batch_id", DATE_COLUMN.get(table, "")), manifest.next_id)
         merged, _ = self.describe(table, manifest.next_id)
-        merged = replace(merged, origin=max(b.origin for b in small))
-        self.commit(log, manifest.extended(merged, dropped=tuple(small)))
+        merged = replace(merged, origin=max(b.origin for b in run))
+        side = SIDE_TABLE.get(log)
+        if side and manifest.state.get(side):
+            # An attempt that died under this id must not become live.
+            nothing = empty(self.spark, TABLES[side]).drop("batch_id").write.mode("overwrite")
+            nothing = nothing.partitionBy("rejected") if side == "staged" else nothing
+            nothing.parquet(self.path(side, manifest.next_id))
+        self.commit(log, manifest.extended(merged, dropped=tuple(run)))
         return True
+
+    def expire(self, log: str, older_than: timedelta) -> list[str]:
+        """Delete folders that no manifest names, once they are older than this.
+
+        These are batches replaced by compaction, control tables before the
+        newest, and the second copy of accepted readings that numbering needs.
+        The age has to exceed the longest run of a reader. Call it from the
+        log's writer. Returns what was deleted.
+        """
+        manifest = self.manifest(log)
+        gone = []
+        for folder, batch_id, age in self._folders(LOG_TABLE[log]):
+            if batch_id <= manifest.snapshot and batch_id not in {b.batch_id for b in manifest.batches}:
+                gone.append((folder, age))
+        if log == REFRESH_LOG:
+            newest = manifest.state.get("control", 0)
+            gone += [(f, age) for f, i, age in self._folders("control") if i < newest]
+        if log == READINGS_LOG:
+            gone += [
+                (f"{f}/rejected=false", age)
+                for f, i, age in self._folders("staged", "rejected=false")
+                if i <= manifest.snapshot
+            ]
+        files = self._files()
+        old = [folder for folder, age in gone if age >= older_than]
+        for folder in old:
+            files.delete(self._hadoop_path(folder), True)
+        return old
+
+    def _hadoop_path(self, folder: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+
+    def _files(self):
+        """The file system of the root, as Spark itself uses it."""
+        settings = self.spark._jsc.hadoopConfiguration()
+        return self._hadoop_path(self.root).getFileSystem(settings)
+
+    def _folders(self, table: str, inner: str = "") -> list[tuple[str, int, timedelta]]:
+        """Batch folders of a table (that hold ``inner``) with id and age."""
+        files, root = self._files(), self._hadoop_path(f"{self.root}/{table}")
+        if not files.exists(root):
+            return []
+        now = self.spark._jvm.System.currentTimeMillis()
+        found = []
+        for status in files.listStatus(root):
+            name = status.getPath().getName()
+            folder = f"{self.root}/{table}/{name}"
+            if name.startswith("batch_id=") and (
+                not inner or files.exists(self._hadoop_path(f"{folder}/{inner}"))
+            ):
+                age = timedelta(milliseconds=now - status.getModificationTime())
+                found.append((folder, int(name.removeprefix("batch_id=")), age))
+        return found

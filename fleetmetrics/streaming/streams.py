@@ -5,7 +5,9 @@ Each function starts a query. Cadence is the caller's trigger, for example
 checkpoint runs one query at a time, and missed ticks are not made up.
 """
 
+import time
 from collections.abc import Callable
+from concurrent.futures import Future
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,25 @@ EVERY_MINUTE = {"processingTime": "1 minute"}
 EVERY_TWO_MINUTES = {"processingTime": "2 minutes"}
 
 
+def _start(
+    messages: DataFrame,
+    action: Callable[[DataFrame, int, str], None],
+    checkpoint: str,
+    name: str,
+    trigger: dict,
+) -> StreamingQuery:
+    """Run ``action`` on each micro-batch, with a source key of name and query id."""
+    source: Future[str] = Future()
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        action(rows, batch_id, source.result())
+
+    writer = messages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    query = writer.trigger(**trigger).start()
+    source.set_result(f"{name}:{query.id}")
+    return query
+
+
 def stream_readings(
     messages: DataFrame,
     store: TelemetryStore,
@@ -33,15 +54,14 @@ def stream_readings(
 ) -> StreamingQuery:
     """Decode a message stream into the buffer and the quarantine.
 
-    ``name`` and the micro-batch id make a replayed batch count once; use a new
-    name with a new checkpoint.
+    The query's id, which its checkpoint keeps, and the micro-batch id make a
+    replayed batch count once; a new checkpoint is a new source.
     """
 
-    def receive(batch: DataFrame, batch_id: int) -> None:
-        receive_messages(store, batch, source=name, source_batch=batch_id)
+    def receive(batch: DataFrame, batch_id: int, source: str) -> None:
+        receive_messages(store, batch, source, batch_id)
 
-    writer = messages.writeStream.foreachBatch(receive).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or EVERY_MINUTE)).start()
+    return _start(messages, receive, checkpoint, name, trigger or EVERY_MINUTE)
 
 
 def stream_ingest(
@@ -58,12 +78,11 @@ def stream_ingest(
     first step finds it done, the second goes by the id cursor.
     """
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        receive_messages(store, batch, source=name, source_batch=batch_id)
+    def load(batch: DataFrame, batch_id: int, source: str) -> None:
+        receive_messages(store, batch, source, batch_id)
         ingest(store, clock())
 
-    writer = messages.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or EVERY_MINUTE)).start()
+    return _start(messages, load, checkpoint, name, trigger or EVERY_MINUTE)
 
 
 def ticker(spark: SparkSession) -> DataFrame:
@@ -71,20 +90,35 @@ def ticker(spark: SparkSession) -> DataFrame:
     return spark.readStream.format("rate").option("rowsPerSecond", 1).load()
 
 
+def seconds_to(moment: datetime, offset_seconds: int, period_seconds: int) -> float:
+    """How long until the time since midnight is the offset past a multiple of the period."""
+    since = moment - moment.replace(hour=0, minute=0, second=0, microsecond=0)
+    return (offset_seconds - since.total_seconds()) % period_seconds
+
+
 def stream_refresh(
     ticks: DataFrame,
     store: TelemetryStore,
     checkpoint: str,
     clock: Callable[[], datetime],
     trigger: dict | None = None,
+    offset_seconds: int = 60,
+    period_seconds: int = 120,
     **settings,
 ) -> StreamingQuery:
     """Refresh the metrics on a clock, so the last window closes in silence too.
 
-    The tick's rows are not looked at. ``settings`` go to ``refresh_metrics``.
+    Spark fires a processing-time trigger at multiples of its interval, which is
+    just when a window ends and its closing delay begins. With the default
+    trigger the refresh waits until ``offset_seconds`` past a multiple of the
+    period: on odd minutes. The tick's rows are not looked at. ``settings`` go
+    to ``refresh_metrics``.
     """
+    wait = trigger is None
 
     def refresh(_: DataFrame, __: int) -> None:
+        if wait:
+            time.sleep(seconds_to(clock(), offset_seconds, period_seconds))
         refresh_metrics(store, clock(), **settings)
 
     writer = ticks.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)

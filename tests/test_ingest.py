@@ -1,5 +1,8 @@
 """Arrival ids, cursor, idempotent append and the receive and ingest jobs."""
 
+from datetime import timedelta
+
+import pytest
 from model import LOAD, at, frame, reading
 from pyspark.sql import functions as F
 
@@ -111,3 +114,83 @@ def test_buffer_options_bound_the_scan():
     options = buffer_options("jdbc:sqlite:/x.db", "SensorData", 10, 500, 4)
     assert "nId > 10" in options["dbtable"]
     assert (options["lowerBound"], options["upperBound"]) == ("11", "500")
+
+
+def buffer_of_text(spark, rows):
+    columns = "nId long, strMachineName string, fA string, fV string, nTemperature string, dtInsert string"
+    return spark.createDataFrame(rows, columns)
+
+
+def test_text_buffer_is_converted_and_breakers_are_kept_out(spark, store):
+    good = "2024-01-01 10:00:00"
+    rows = [
+        (1, "M", "1.5", "220", "84.5", good),
+        (2, "M", "1", "220", "80", "not a date"),
+        (3, None, "1", "220", "80", good),
+        (4, "M", None, "220", "80", good),
+        (5, "M", "1", "220", "3e9", good),
+        (6, "M" * 101, "1", "220", "80", good),
+        (7, "M", "1", "x", "-2147483648", good),
+        (8, "M", "1", "2", "-2147483648", "2024-01-01 10:00:01.25"),
+        (9, "M", "1", "2", None, good),
+    ]
+    assert jobs.ingest(store, LOAD, buffer_of_text(spark, rows)) == jobs.IngestCounts(9, 2, 7)
+    raw = {r.nSourceId: r for r in store.raw().collect()}
+    assert sorted(raw) == [1, 8]
+    assert raw[1].nTemperature == 85 and raw[1].dtInsert == at("10:00:00")
+    assert raw[8].nTemperature == -2147483648
+    fields = sorted(r.reject_field for r in store.quarantine().collect())
+    assert fields == ["dtInsert", "fCurrent", "fVoltage", "nTemperature", "nTemperature", "strMachineName", "strMachineName"]
+    assert jobs.ingest(store, LOAD, buffer_of_text(spark, rows)) == jobs.IngestCounts(0, 0)
+    assert jobs.refresh_metrics(store, at("11:00:00")).processed_metrics == 1
+    assert store.metrics().first().bTemperatureAlert is True
+
+
+def test_only_breakers_still_move_the_cursor(spark, store):
+    rows = [(5, None, "1", "2", "3", "2024-01-01 10:00:00")]
+    assert jobs.ingest(store, LOAD, buffer_of_text(spark, rows)) == jobs.IngestCounts(1, 0, 1)
+    assert jobs.ingest(store, LOAD, buffer_of_text(spark, rows)) == jobs.IngestCounts(0, 0)
+    assert store.quarantine().count() == 1
+
+
+def test_wrong_columns_are_refused_before_writing(spark, store):
+    rows = frame(spark, [reading(1, "M", at("10:00:00"))])
+    with pytest.raises(TypeError, match="dtInsert"):
+        store.write("raw", rows.withColumn("dtInsert", F.col("dtInsert").cast("string")), 1)
+
+
+def test_quarantine_reads_any_number_of_batches(spark, store):
+    """Compactions take ids in between; what they leave behind stays out."""
+    for i in range(6):
+        mixed = texts(spark, [i]).union(spark.createDataFrame([("broken",)], "value string"))
+        jobs.receive_messages(store, mixed, "s", i)
+        if i % 2:
+            died = store.manifest(READINGS_LOG).next_id
+            store.written("staged", 1).drop("batch_id").write.partitionBy("rejected").parquet(store.path("staged", died))
+            assert store.compact(READINGS_LOG, min_batches=2)
+    assert store.quarantine().count() == 6
+    depth = store.quarantine()._jdf.queryExecution().optimizedPlan().toString()
+    assert depth.count("batch_id#") < 20
+
+
+def test_small_loads_are_merged_and_expire(spark, store):
+    for i in range(40):
+        jobs.receive_messages(store, texts(spark, [i]), "s", i)
+    batches = store.manifest(READINGS_LOG).batches
+    assert len(batches) < 33 and sum(b.rows for b in batches) == 40
+    gone = store.expire(READINGS_LOG, timedelta(0))
+    assert len(gone) >= 32 + 40
+    assert store.expire(READINGS_LOG, timedelta(0)) == []
+    assert sorted(r.nId for r in store.buffer().collect()) == list(range(1, 41))
+    assert jobs.ingest(store, LOAD).inserted == 40
+    assert store.expire(INGEST_LOG, timedelta(days=1)) == []
+
+
+def test_old_runs_of_small_batches_are_merged_too(spark, store):
+    for i in range(5):
+        rows = [reading(100 * i + k, "M", at("10:00:00")) for k in range(50 if i == 3 else 1)]
+        jobs.append_raw(store, store.manifest(INGEST_LOG), frame(spark, rows))
+    assert store.compact(INGEST_LOG, max_rows=20, min_batches=3)
+    assert sorted(b.rows for b in store.manifest(INGEST_LOG).batches) == [1, 3, 50]
+    assert store.raw().count() == 54
+

@@ -153,20 +153,13 @@ def test_cursor_never_moves_back(spark):
     }
 
 
-def test_merged_ranges_hold_every_window():
-    starts = [at("10:00:00") + timedelta(minutes=m) for m in (0, 2, 4, 30, 60, 61, 200)]
-    assert len(jobs.merge_ranges(starts, 2)) == 4
-    for most in (1, 2, 3):
-        ranges = jobs.merge_ranges(starts, 2, most)
-        assert len(ranges) == most
-        for start in starts:
-            assert any(a <= start and start + timedelta(minutes=2) <= b for a, b in ranges)
-
-
-def test_many_affected_windows_fall_back_to_one_range(spark, store, monkeypatch):
-    monkeypatch.setattr(jobs, "MAX_STARTS", 2)
-    load(store, *[reading(i, "M", at(f"10:{2 * i:02d}:00")) for i in range(1, 9)])
-    assert jobs.refresh_metrics(store, at("11:00:00")).processed_metrics == 8
+def test_many_affected_days_are_picked_while_running(spark, store, monkeypatch):
+    monkeypatch.setattr(jobs, "PUSHED_DAYS", 2)
+    load(store, *[reading(i, "M", at("10:02:00", day=i)) for i in range(1, 9)])
+    assert jobs.refresh_metrics(store, at("11:00:00", day=8)).processed_metrics == 1
+    load(store, *[reading(20 + i, "M", at("10:03:00", day=i)) for i in range(1, 9)])
+    assert jobs.refresh_metrics(store, at("12:00:00", day=8)).processed_metrics == 8
+    assert {r.nRecords for r in store.metrics().collect()} == {2}
 
 
 def test_grouped_triggers_equal_the_row_by_row_definition(spark):

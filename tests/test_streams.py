@@ -102,3 +102,18 @@ def test_native_windows_check_their_setting(spark):
             streams.native_windows(raw)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_new_checkpoint_is_a_new_source(spark, store, folder):
+    for number in (1, 2):
+        land(spark, f"{folder}/in{number}", [number])
+        messages = landing_stream(spark, f"{folder}/in{number}")
+        streams.stream_readings(messages, store, f"{folder}/cp{number}", trigger=NOW).awaitTermination()
+    assert sorted(r.fA for r in store.buffer().collect()) == [1.0, 2.0]
+
+
+def test_refreshes_wait_for_odd_minutes():
+    assert streams.seconds_to(at("10:04:00"), 60, 120) == 60
+    assert streams.seconds_to(at("10:05:00"), 60, 120) == 0
+    assert streams.seconds_to(at("10:05:01"), 60, 120) == 119
+    assert streams.seconds_to(at("10:04:30").replace(microsecond=500_000), 60, 120) == 29.5
