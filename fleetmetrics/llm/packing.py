@@ -13,12 +13,14 @@ separately. Token ids depend on the text only, so documents keep their pieces
 when a task is repeated; sequence ids are unique, not consecutive.
 """
 
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,37 +31,87 @@ from fleetmetrics.llm.common import map_column, ship, shuffle_partitions, stored
 WINDOW = 2048
 END = 1
 BLOCK = 1 << 18
-CACHE = 1 << 18
+CACHE = 1 << 20
+GROUP = 64
 LONGS = ("start", "length", "ids_crc32", "doc_tokens")
 PIECE = T.StructType([*[T.StructField(n, T.LongType()) for n in LONGS], T.StructField("ids", T.BinaryType())])
 
 
 class WordTokens:
-    """Token ids of texts, as little-endian 32-bit bytes, a word at a time.
-
-    The tokenizer drops white space and never joins what it separates, so a
-    text's ids are those of its parts between spaces and line ends. Parts seen
-    before are looked up.
+    """Token ids of texts, as little-endian 32-bit bytes, from parts seen before.
+
+    The tokenizer drops white space, cuts the rest into words of letters, single
+    digits and runs of other signs, and never joins what it has cut. A text's
+    ids are therefore those of its parts between spaces and line ends, and a
+    part's ids those of its words. Both are looked up; only new words are
+    encoded. A part that composing or lower-casing could change beyond single
+    characters, or that may hold a special token, is encoded as it is.
     """
 
+    # How the tokenizer cuts text in lower case, and the mark that
+    # its last token of a word carries.
+    CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+    LAST = "</w>"
+    # Letters that lower-casing treats by their place or makes two of.
+    SPECIAL = frozenset("\u03a3\u0130")
+
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(self.LAST)]] = True
+        self.parts: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
+
+    def cut(self, part: str) -> list[str] | None:
+        """The words of a part, or None if it has to be encoded as it is."""
+        if part.isascii():
+            if part.isalpha():
+                return [part.lower()]
+        elif not unicodedata.is_normalized("NFC", part) or not self.SPECIAL.isdisjoint(part):
+            return None
+        elif part.isalpha():
+            return [part.lower()]
+        return self.CUT.findall(part.lower()) if "<|" not in part else None
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def learn_words(self, new: list[str]) -> None:
+        """A thousand words in one text: their ids end at the tokens that end words."""
+        for at in range(0, len(new), 1000):
+            some = new[at : at + 1000]
+            ids = self.ids(" ".join(some))
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            if len(ends) == len(some):
+                for word, start, end in zip(some, [0, *ends], ends, strict=False):
+                    self.words[word] = raw[start:end]
+            else:
+                self.words |= {w: self.ids(w).tobytes() for w in some}
+
+    def learn(self, parts: set[str]) -> None:
+        if len(self.parts) + len(parts) > CACHE:
+            self.parts = {"": b""}
+        if len(self.words) > CACHE:
+            self.words = {}
+        known, words = self.parts, self.words
+        cut = {p: self.cut(p) for p in parts if p not in known}
+        self.learn_words(list({w for found in cut.values() for w in found or () if w not in words}))
+        for part, found in cut.items():
+            if found is None:
+                known[part] = self.ids(part).tobytes()
+            elif len(found) == 1:
+                known[part] = words[found[0]]
+            else:
+                known[part] = b"".join([words[w] for w in found])
 
     def encode(self, batch: Sequence[str]) -> Iterator[bytes]:
-        for text in batch:
-            parts = text.replace("\n", " ").split(" ")
-            known = self.known
-            new = list({p for p in parts if p not in known})
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                known[""] = b""
-                new = list(set(parts) - {""})
-            for at in range(0, len(new), 4096):
-                some = new[at : at + 4096]
-                for part, made in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                    known[part] = np.array(made.ids, dtype="<u4").tobytes()
-            yield b"".join([known[p] for p in parts])
+        for at in range(0, len(batch), GROUP):
+            split = [t.replace("\n", " ").split(" ") for t in batch[at : at + GROUP]]
+            self.learn({p for parts in split for p in parts})
+            for parts in split:
+                yield b"".join([self.parts[p] for p in parts])
 
 
 _encoders: dict[str, WordTokens] = {}
