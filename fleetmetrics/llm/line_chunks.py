@@ -122,7 +122,8 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # The smallest id, then key and line; nulls last.
     order = F.struct(F.col("id").isNull().alias("none"), "id", "key", "first")
     kept = shared.groupBy("digest", "body").agg(F.min(order).alias("kept"))
-    placed = shared.join(kept, ["digest", "body"])
+    # Stored, so that both sides are dealt anew and a frequent chunk's rows can be split.
+    placed = shared.join(stored(kept, "kept"), ["digest", "body"])
     mine = (F.col("key") == F.col("kept.key")) & (F.col("first") == F.col("kept.first"))
     return placed.filter(~mine).select("key", "first", "past").distinct()
 
