@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.common import blobs, map_batches, map_column
+from fleetmetrics.llm.common import blobs, map_batches, map_column, stored
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 OFFSETS = (-2, -1, 1, 2)
@@ -199,8 +199,17 @@ def vocabulary(docs: DataFrame, text: str = "text", words: int = WORDS) -> list[
             yield pa.RecordBatch.from_arrays(columns, names=["word", "times"])
 
     counts = map_batches(docs.select(F.col(text).alias("text")), counted, part)
+    # Counts by powers of two tell from what count on words can be among the most
+    # frequent; only those are sorted, so what reaches the driver stays small.
     total = counts.groupBy("word").agg(F.sum("times").alias("times"))
-    return [bytes(r.word) for r in total.orderBy(F.desc("times"), "word").limit(words).collect()]
+    total = stored(total.withColumn("power", F.floor(F.log2("times")).cast("int")), "words")
+    least, found = 0, 0
+    for row in total.groupBy("power").count().orderBy(F.desc("power")).collect():
+        least, found = row.power, found + row["count"]
+        if found >= words:
+            break
+    frequent = total.filter(F.col("power") >= least).orderBy(F.desc("times"), "word").limit(words)
+    return [bytes(r.word) for r in frequent.collect()]
 
 
 def _summed(table: pa.Table) -> pa.Table:
