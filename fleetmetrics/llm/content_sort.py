@@ -2,7 +2,7 @@
 
 Spark samples splitters and range-partitions the rows, sorts each range on
 disk, and compares each text with its neighbour in full. The range key is the
-start of the normalised text and its digest, so that the driver's sample of
+start of the normalised text and of its digest, so that the driver's sample of
 keys stays small whatever the length of the texts; rows compare by whole texts.
 
 A text whose copies fill more than half a partition is dealt over several by a
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from fleetmetrics.llm.common import SPACE, shuffle_partitions, stored, text_or_empty
 
-PREFIX = 32
+PREFIX = 16
 
 
 def exact_duplicates(
@@ -43,9 +43,11 @@ def exact_duplicates(
 
     spread = rows.join(F.broadcast(crowded), "sha", "left")
     part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), "parts"))
-    spread = spread.withColumns({"part": part, "start": F.substring("body", 1, PREFIX)})
-    ranged = spread.repartitionByRange(n, "start", "sha", "part")
-    equal = Window.partitionBy("start", "sha", "part", "body")
+    spread = spread.withColumns(
+        {"part": part, "start": F.substring("body", 1, PREFIX), "short": F.substring("sha", 1, PREFIX)}
+    )
+    ranged = spread.repartitionByRange(n, "start", "short", "part")
+    equal = Window.partitionBy("start", "short", "part", "sha", "body")
     ordered = equal.orderBy(F.asc_nulls_last("doc_id"))
     compared = ranged.select(
         "doc_id",
