@@ -16,7 +16,6 @@ Repeated rows and ties share their fingerprint and group. A null id takes no
 part in the choice of a group's smallest id.
 """
 
-from functools import reduce
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -101,7 +100,8 @@ def _exploded(masks: list[int], operation) -> Column:
 
 
 def close_pairs(fps: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
-    """Links (a, b) of distinct fingerprints fp: a path joins any two within `radius`.
+    """Links (print, a, b) of distinct fingerprints (print, fp) with one print number:
+    a path of links joins any two within `radius`.
 
     Pairs of small buckets are complete; in large ones each member is linked to
     the smallest that shares a midpoint with it.
@@ -110,24 +110,25 @@ def close_pairs(fps: DataFrame, radius: int = RADIUS, blocks: int | None = None)
         raise ValueError("the radius must be even: midpoints lie half way")
     masks = key_masks(radius, blocks or radius + 2)
     tables = F.array(*[F.lit(m) for m in masks])
-    keyed = fps.select("fp", F.posexplode(tables).alias("part", "mask")).select(
-        "part", F.col("mask").bitwiseAND(F.col("fp")).alias("key"), "fp"
+    keyed = fps.select("print", "fp", F.posexplode(tables).alias("part", "mask")).select(
+        "print", "part", F.col("mask").bitwiseAND(F.col("fp")).alias("key"), "fp"
     )
-    sizes = keyed.groupBy("part", "key").agg(F.count("*").alias("members")).filter("members > 1")
+    bucket = ["print", "part", "key"]
+    sizes = keyed.groupBy(*bucket).agg(F.count("*").alias("members")).filter("members > 1")
     small, large = sizes.filter(F.col("members") <= BUCKET), sizes.filter(F.col("members") > BUCKET)
-    paired = keyed.join(small, ["part", "key"], "left_semi")
+    paired = keyed.join(small, bucket, "left_semi")
     left, right = paired.withColumnRenamed("fp", "a"), paired.withColumnRenamed("fp", "b")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    direct = left.join(right, ["part", "key"]).filter((F.col("a") < F.col("b")) & near)
+    direct = left.join(right, bucket).filter((F.col("a") < F.col("b")) & near)
 
-    crowded = keyed.join(large, ["part", "key"], "left_semi").select("fp").distinct()
+    crowded = keyed.join(large, bucket, "left_semi").select("print", "fp").distinct()
     midpoints = crowded.select(
-        "fp", _exploded(flips(radius // 2), lambda m: m.bitwiseXOR(F.col("fp"))).alias("midpoint")
+        "print", "fp", _exploded(flips(radius // 2), lambda m: m.bitwiseXOR(F.col("fp"))).alias("midpoint")
     )
     # At most one member for each flip meets at a midpoint.
-    met = midpoints.groupBy("midpoint").agg(F.collect_set("fp").alias("fps")).filter("size(fps) > 1")
-    starred = met.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).filter("a < b")
-    return direct.select("a", "b").union(starred).distinct()
+    met = midpoints.groupBy("print", "midpoint").agg(F.collect_set("fp").alias("fps")).filter("size(fps) > 1")
+    starred = met.select("print", F.array_min("fps").alias("a"), F.explode("fps").alias("b")).filter("a < b")
+    return direct.select("print", "a", "b").union(starred).distinct()
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -156,15 +157,15 @@ def components(pairs: DataFrame) -> DataFrame:
     return leaves.union(leaves.select(F.col("root").alias("node"), "root").distinct())
 
 
-def _links(distinct: DataFrame, number: int, radius: int, blocks: int | None) -> DataFrame:
+def _links(distinct: DataFrame, radius: int, blocks: int | None) -> DataFrame:
     """Links (a, b) of nodes that are close in one of their fingerprints."""
-    own = distinct.select("node", F.col("fps")[number].alias("fp"))
-    first = own.groupBy("fp").agg(F.min("node").alias("head"))
-    pairs = close_pairs(first.select("fp"), radius, blocks)
-    left, right = first.toDF("a", "node_a"), first.toDF("b", "node_b")
-    across = pairs.join(left, "a").join(right, "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    same = own.join(first, "fp").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    return across.union(same)
+    own = distinct.select("node", F.posexplode("fps").alias("print", "fp"))
+    heads = stored(own.groupBy("print", "fp").agg(F.min("node").alias("head")), "heads")
+    pairs = close_pairs(heads.select("print", "fp"), radius, blocks)
+    left, right = heads.toDF("print", "a", "head_a"), heads.toDF("print", "b", "head_b")
+    across = pairs.join(left, ["print", "a"]).join(right, ["print", "b"])
+    same = own.join(heads, ["print", "fp"]).select("node", "head")
+    return across.select(F.col("head_a").alias("a"), F.col("head_b").alias("b")).union(same)
 
 
 def near_duplicates(
@@ -182,10 +183,10 @@ def near_duplicates(
     marked = stored(fingerprints(own, words=words, prints=prints).withColumn("node", node), "fingerprints")
     distinct = marked.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("fps").alias("fps"))
     if prints == 1:
-        links = close_pairs(distinct.select(F.col("node").alias("fp")), radius, blocks)
+        links = close_pairs(distinct.select(F.lit(0).alias("print"), F.col("node").alias("fp")), radius, blocks)
     else:
         distinct = stored(distinct, "distinct")
-        links = reduce(DataFrame.union, [_links(distinct, k, radius, blocks) for k in range(prints)])
+        links = _links(distinct, radius, blocks)
     roots = components(links)
     firsts = distinct.select("node", "first")
     grouped = roots.join(firsts, "node")

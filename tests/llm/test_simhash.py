@@ -80,11 +80,11 @@ def test_links_join_exactly_what_pairs_join(spark, monkeypatch, radius, bucket):
             flipped ^= 1 << chance.randrange(64)
         prints.append(flipped)
     prints = sorted(set(prints))
-    nodes = [(simhash.signed(p),) for p in prints]
-    pairs = simhash.close_pairs(spark.createDataFrame(nodes, "fp long"), radius)
+    nodes = [(0, simhash.signed(p)) for p in prints]
+    pairs = simhash.close_pairs(spark.createDataFrame(nodes, "print int, fp long"), radius)
     roots = {r.node: r.root for r in simhash.components(pairs).collect()}
     got, want = {}, {}
-    for (node,), root in zip(nodes, model_groups(prints, radius), strict=True):
+    for (_, node), root in zip(nodes, model_groups(prints, radius), strict=True):
         got.setdefault(roots.get(node, node), set()).add(node)
         want.setdefault(root, set()).add(node)
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
@@ -118,4 +118,4 @@ def test_keep_one_leaves_null_ids(spark):
 
 def test_odd_radius_is_refused(spark):
     with pytest.raises(ValueError):
-        simhash.close_pairs(spark.createDataFrame([], "fp long"), radius=3)
+        simhash.close_pairs(spark.createDataFrame([], "print int, fp long"), radius=3)
