@@ -32,7 +32,7 @@ from fleetmetrics.llm.common import map_column, texts
 BUCKETS = 1 << 16
 DIMENSIONS = 8
 GRAMS = (2, 3, 4)
-TRAIN_ROWS = 4000
+TRAIN_ROWS = 3000
 EPOCHS = 10
 RATE = 20.0
 SEED = 7
@@ -146,14 +146,20 @@ def train(
 
     counted = map_column(rows, "text", [T.StructField("features", COUNTS)], made, ["id", "label"])
     # The bound holds for rows too where an id is repeated.
-    found = counted.dropDuplicates(["id"]).toArrow().sort_by("id")
-    features = found["features"].combine_chunks()
-    examples = [
-        (np.array(f["ids"].values), np.array(f["counts"].values), y)
-        for f, y in zip(features, found["label"].to_pylist(), strict=True)
-        if len(f["ids"])
-    ]
-    return fit(examples)
+    found = counted.dropDuplicates(["id"]).toArrow()
+    examples = []
+    for batch in found.to_batches():
+        features = batch.column("features")
+        ids, counts = features.field("ids"), features.field("counts")
+        keys, labels = batch.column("id").to_pylist(), batch.column("label").to_pylist()
+        examples += [
+            (key, np.array(ids[i].values), np.array(counts[i].values), label)
+            for i, (key, label) in enumerate(zip(keys, labels, strict=True))
+            if len(ids[i])
+        ]
+    del found
+    examples.sort(key=lambda e: e[0])
+    return fit([e[1:] for e in examples])
 
 
 class Scorer:
