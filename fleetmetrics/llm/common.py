@@ -71,6 +71,19 @@ def ship(spark: SparkSession) -> None:
     _shipped[context.applicationId] = own
 
 
+#: The one costly object that a worker holds: workers live longer than stages, and
+#: what an earlier stage has cached must not stand beside what the next one caches.
+_held: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], object]):
+    """The object of this key in this worker, made on first use; others are let go."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def map_batches(frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """mapInArrow, with this package on the workers."""
     ship(frame.sparkSession)

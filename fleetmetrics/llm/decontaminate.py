@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.common import blobs, free_name, map_column, stored
+from fleetmetrics.llm.common import blobs, free_name, held, map_column, stored
 
 WINDOW = 13
 SHARE = 20
@@ -89,15 +89,9 @@ class Scanner:
         return found, items - {None}
 
 
-_scanners: dict[str, Scanner] = {}
-
-
 def scanner(items: Sequence[tuple[str | None, str]], window: int, digest: str) -> Scanner:
     """The worker's automaton, built once for each set of items."""
-    if digest not in _scanners:
-        _scanners.clear()
-        _scanners[digest] = Scanner(items, window)
-    return _scanners[digest]
+    return held(("decontaminate", digest), lambda: Scanner(items, window))
 
 
 def original_spans(text: bytes, runs: list[list[int]]) -> list[tuple[int, int]]:

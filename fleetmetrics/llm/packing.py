@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from fleetmetrics.llm.common import map_column, ship, shuffle_partitions, stored, texts
+from fleetmetrics.llm.common import held, map_column, ship, shuffle_partitions, stored, texts
 
 WINDOW = 2048
 END = 1
 BLOCK = 1 << 18
-CACHE = 1 << 20
+CACHE = 1 << 19
 GROUP = 64
 LONGS = ("start", "length", "ids_crc32", "doc_tokens")
 PIECE = T.StructType([*[T.StructField(n, T.LongType()) for n in LONGS], T.StructField("ids", T.BinaryType())])
@@ -114,14 +114,9 @@ class WordTokens:
                 yield b"".join([self.parts[p] for p in parts])
 
 
-_encoders: dict[str, WordTokens] = {}
-
-
 def encoder(path: str) -> WordTokens:
-    """The worker's encoder, made once."""
-    if path not in _encoders:
-        _encoders[path] = WordTokens(path)
-    return _encoders[path]
+    """The worker's encoder, whose caches are kept between batches."""
+    return held(("packing", path), lambda: WordTokens(path))
 
 
 def pieces(ids: bytes, window: int) -> list[dict]:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.common import map_column, texts
+from fleetmetrics.llm.common import held, map_column, texts
 
 BUCKETS = 1 << 16
 DIMENSIONS = 8
@@ -36,7 +36,7 @@ TRAIN_ROWS = 3000
 EPOCHS = 10
 RATE = 20.0
 SEED = 7
-CACHE = 1 << 20
+CACHE = 1 << 19
 REPEAT = BUCKETS - 1
 COUNTS = T.StructType(
     [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType()))]
@@ -212,13 +212,7 @@ def scored(
     return map_column(docs, text, [T.StructField(into, T.DoubleType())], made, keep)
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def scorer(model: Model) -> Scorer:
     """The worker's scorer of a model, whose cache of words is kept between batches."""
     key = zlib.crc32(model.effects.tobytes(), zlib.crc32(repr(model.bias).encode()))
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(model)
-    return _scorers[key]
+    return held(("quality", key), lambda: Scorer(model))
