@@ -13,6 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from fleetmetrics.session import scratch_folder
 
+SLICE = 128
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -99,8 +100,9 @@ def map_column(
 ) -> DataFrame:
     """The columns `keep` and, from `function` over the batches of `source`, new ones.
 
-    `function` takes one Arrow column and gives a tuple per row. Rows stay in
-    their partitions, a batch at a time.
+    `function` takes an Arrow column of at most SLICE texts and gives a tuple per
+    row. Rows stay in their partitions, a batch at a time; only a slice's texts
+    become Python objects at once.
     """
     sent = frame.select(F.col(f"`{source}`").alias(free_name(frame, "__source")), *[F.col(f"`{c}`") for c in keep])
     schema = T.StructType([*sent.schema.fields[1:], *new])
@@ -108,7 +110,8 @@ def map_column(
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = list(function(batch.column(0)))
+            texts = batch.column(0)
+            rows = [r for at in range(0, len(texts), SLICE) for r in function(texts.slice(at, SLICE))]
             columns = zip(*rows, strict=True) if rows else [[] for _ in arrow]
             made = [pa.array(v, f.type) for v, f in zip(columns, arrow, strict=True)]
             names = [*batch.schema.names[1:], *arrow.names]
