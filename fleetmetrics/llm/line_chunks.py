@@ -13,9 +13,17 @@ Null and empty texts have no chunks; a null text stays null. Rows equal in id
 and text count as one document and stay alike. A null id orders after all
 others. White space at the ends of lines counts; the last line's missing line
 end does not.
+
+`dedup_passages` does not depend on boundaries. From each line on and up to each
+line it takes the shortest run with LEAST words in at least two lines that are
+not blank, or with a line of LONG words. The runs inside a passage cover it to
+both edges, whatever stands around it; so a repeated passage goes whole, however
+its words are dealt over lines. A line that goes stands in an equal run further
+ahead, so every line stays somewhere.
 """
 
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -23,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.common import blobs, free_name, map_batches, map_column, stored
+from fleetmetrics.llm.common import SLICE, blobs, free_name, map_batches, map_column, stored
 
 LONG = 50
 LEAST = 20
@@ -72,6 +80,43 @@ def chunks(text: bytes) -> list[tuple[int, int, bytes]]:
     return found
 
 
+def runs(lines: Sequence[bytes]) -> list[tuple[int, int]]:
+    """[first, past) of the shortest runs of enough words from each line on and up to each line."""
+    sizes = [len(line.split()) for line in lines]
+    words = list(accumulate(sizes, initial=0))
+    filled = list(accumulate((n > 0 for n in sizes), initial=0))
+    long = list(accumulate((n >= LONG for n in sizes), initial=0))
+
+    def enough(a: int, b: int) -> bool:
+        return words[b] - words[a] >= LEAST and (filled[b] - filled[a] >= SHORTEST or long[b] > long[a])
+
+    found, past = set(), 0
+    for first in range(len(lines)):
+        while past < len(lines) and not enough(first, past):
+            past += 1
+        if not enough(first, past):
+            break
+        found.add((first, past))
+    first = 0
+    for past in range(1, len(lines) + 1):
+        while enough(first + 1, past):
+            first += 1
+        if enough(first, past):
+            found.add((first, past))
+    return sorted(found)
+
+
+def merged(spans: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans, those that overlap or touch made one."""
+    made: list[tuple[int, int]] = []
+    for first, past in spans:
+        if made and first <= made[-1][1]:
+            made[-1] = (made[-1][0], max(past, made[-1][1]))
+        else:
+            made.append((first, past))
+    return made
+
+
 def without(text: bytes, spans: Sequence[tuple[int, int]]) -> bytes:
     lines = text.split(b"\n")
     gone = {i for first, past in spans for i in range(first, past)}
@@ -119,6 +164,11 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     many = seen.filter("one <> other OR a <> b").select("digest")
     # Used twice; written, so that all chunks are moved once and only the repeated ones again.
     shared = stored(_chunked(rows, with_body=True).join(many, "digest", "left_semi"), "repeated")
+    return _firsts(shared)
+
+
+def _firsts(shared: DataFrame) -> DataFrame:
+    """key, first, past of all but the first place of each digest and body."""
     # The smallest id, then key and line; nulls last.
     order = F.struct(F.col("id").isNull().alias("none"), "id", "key", "first")
     kept = shared.groupBy("digest", "body").agg(F.min(order).alias("kept"))
@@ -128,14 +178,72 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return placed.filter(~mine).select("key", "first", "past").distinct()
 
 
+def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, first, past of each run to remove, its key naming the document."""
+    rows = docs.select(
+        F.col(f"`{doc_id}`").alias("id"), _key(doc_id, text).alias("key"), F.col(f"`{text}`").alias("text")
+    )
+
+    def digested(column: pa.Array) -> Iterator[tuple[list[dict]]]:
+        for blob in blobs(column):
+            lines = blob.split(b"\n")
+            starts = list(accumulate((len(line) + 1 for line in lines), initial=0))
+            made = [(a, b, blob[starts[a] : starts[b] - 1]) for a, b in runs(lines)]
+            yield ([{"first": a, "past": b, "digest": xxhash.xxh3_128_digest(body), "body": None} for a, b, body in made],)
+
+    field = T.StructField("chunks", T.ArrayType(CHUNK))
+    found = map_column(rows, "text", [field], digested, ["key"])
+    places = found.select("key", F.explode("chunks").alias("c")).select("key", "c.first", "c.past", "c.digest")
+    places = stored(places, "places")
+    # Rows equal in id and text are one document, so they alone repeat nothing.
+    seen = places.groupBy("digest").agg(
+        F.min("key").alias("one"), F.max("key").alias("other"), F.min("first").alias("a"), F.max("first").alias("b")
+    )
+    many = stored(seen.filter("one <> other OR a <> b").select("digest"), "many")
+    wanted = places.join(many, "digest", "left_semi").groupBy("key").agg(F.collect_set("first").alias("firsts"))
+    wanted = stored(wanted, "wanted")
+
+    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                numbers, cut = [], []
+                for n, (blob, firsts) in enumerate(zip(blobs(part.column(0)), part.column(1).to_pylist(), strict=True)):
+                    lines, chosen = blob.split(b"\n"), set(firsts)
+                    for a, b in runs(lines):
+                        if a in chosen:
+                            numbers.append(n)
+                            cut.append((a, b, b"\n".join(lines[a:b])))
+                own = [c.take(pa.array(numbers, pa.int32())) for c in part.columns[2:]]
+                first, past = (pa.array([c[k] for c in cut], pa.int32()) for k in (0, 1))
+                digest = pa.array([xxhash.xxh3_128_digest(c[2]) for c in cut], pa.binary())
+                columns = [*own, first, past, digest, pa.array([c[2] for c in cut], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "first", "past", "digest", "body"])
+
+    held = rows.join(wanted, "key").select("text", "firsts", "id", "key")
+    schema = T.StructType([*held.select("id", "key").schema.fields, *CHUNK.fields])
+    return _firsts(stored(map_batches(held, bodies, schema), "repeated"))
+
+
+def dedup_passages(
+    docs: DataFrame, keep: Sequence[str] | None = None, doc_id: str = "doc_id", text: str = "text", into: str = "lines"
+) -> DataFrame:
+    """As dedup_lines, but repeated passages go whole; `chunks` counts the ranges of lines."""
+    return _dedup(docs, repeated_runs(docs, doc_id, text), keep, doc_id, text, into)
+
+
 def dedup_lines(
     docs: DataFrame, keep: Sequence[str] | None = None, doc_id: str = "doc_id", text: str = "text", into: str = "lines"
 ) -> DataFrame:
     """The columns `keep` (all by default) with the text cleaned, and a struct `into`: n_lines,
     removed (lines), chunks (removed), spans (line ranges of the original text)."""
+    return _dedup(docs, repeated_chunks(docs, doc_id, text), keep, doc_id, text, into)
+
+
+def _dedup(docs: DataFrame, places: DataFrame, keep: Sequence[str] | None, doc_id: str, text: str, into: str) -> DataFrame:
     keep = list(keep if keep is not None else docs.columns)
     key, gone = free_name(docs, "__key"), free_name(docs, "__gone")
-    removed = repeated_chunks(docs, doc_id, text).groupBy(F.col("key").alias(key))
+    removed = places.groupBy(F.col("key").alias(key))
     removed = removed.agg(F.sort_array(F.collect_list(F.struct("first", "past"))).alias(gone))
     joined = docs.withColumn(key, _key(doc_id, text)).join(removed, key, "left")
     return _cleaned(joined, keep, text, gone, into)
@@ -163,11 +271,11 @@ def _cleaned(joined: DataFrame, keep: list[str], text: str, gone: str, into: str
             source, ranges = batch.column(0), batch.column(1).to_pylist()
             cleaned, report = [], []
             for value, spans in zip(source.cast(pa.binary()).to_pylist(), ranges, strict=True):
-                pairs = [(s["first"], s["past"]) for s in spans or ()]
+                pairs = merged([(s["first"], s["past"]) for s in spans or ()])
                 cleaned.append(without(value, pairs) if pairs else value)
                 lines = value.count(b"\n") + 1 if value else 0
                 lost = sum(b - a for a, b in pairs)
-                report.append({"n_lines": lines, "removed": lost, "chunks": len(pairs), "spans": spans or []})
+                report.append({"n_lines": lines, "removed": lost, "chunks": len(pairs), "spans": [{"first": a, "past": b} for a, b in pairs]})
             new = pa.array(cleaned, pa.binary()).cast(source.type)
             kept = [new if n == text else c for n, c in zip(keep, batch.columns[2:], strict=True)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(report, arrow)], names=[*keep, into])

@@ -77,7 +77,7 @@ def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_chunks.dedup_lines(table(spark, sf_dir, "documents"), keep=["doc_id", "text"])
+    cleaned = line_chunks.dedup_passages(table(spark, sf_dir, "documents"), keep=["doc_id", "text"])
     spans = F.transform("lines.spans", lambda s: F.concat_ws(":", s["first"], s["past"]))
     return cleaned.select(
         "doc_id",

@@ -1,0 +1,40 @@
+"""Repeated passages go whole, whatever their lines and neighbours."""
+
+import pytest
+from llm import cases
+
+from fleetmetrics.llm import line_chunks
+
+
+@pytest.mark.parametrize(("lines", "words"), [(3, 20), (4, 15), (6, 10), (8, 8), (10, 6), (20, 5), (40, 5), (30, 9), (2, 30)])
+@pytest.mark.parametrize("holders", [2, 30])
+def test_a_repeated_passage_goes_whole(spark, lines, words, holders):
+    passage = [cases.prose(9000 + 50 * lines + i, words) for i in range(lines)]
+    rows, rest = [], {}
+    for doc in range(holders):
+        own = [cases.prose(100 * doc + i, 9) for i in range(10)]
+        at = doc % 11
+        rows.append((doc, "\n".join(own[:at] + passage + own[at:])))
+        rest[doc] = "\n".join(own)
+    made = {r.doc_id: r.text for r in line_chunks.dedup_passages(cases.frame(spark, rows)).collect()}
+    assert made == rest | {0: rows[0][1]}
+
+
+def test_every_line_stays_somewhere(spark):
+    line = [cases.prose(i, 11) for i in range(9)]
+    texts = [line[0:3], line[1:5], line[2:6] + line[0:2], [line[7]] * 30, line[6:9], line[0:9]]
+    rows = [(i, "\n".join(t)) for i, t in enumerate(texts)]
+    rows += [(d, t) for d, t in cases.awkward_texts()]
+    made = line_chunks.dedup_passages(cases.with_clashes(cases.frame(spark, rows)).drop("lines")).collect()
+    assert len(made) == len(rows)
+    assert {part for r in made for part in (r.text or "").split("\n")} >= {x for _, t in rows for x in (t or "").split("\n")} - {""}
+    assert sum(r.text is None for r in made) == sum(t is None for _, t in rows)
+
+
+def test_few_words_stay(spark):
+    rows = [(i, f"{cases.prose(10 + i, 12)}\nall rights\nreserved by the owner\n{cases.prose(20 + i, 12)}") for i in range(5)]
+    assert sorted((r.doc_id, r.text) for r in line_chunks.dedup_passages(cases.frame(spark, rows)).collect()) == rows
+
+
+def test_empty_table(spark):
+    assert line_chunks.dedup_passages(cases.frame(spark, [])).collect() == []
