@@ -222,10 +222,10 @@ def _packed(frames: Iterator[pd.DataFrame], window: int, block: int) -> Iterator
 
 
 def pack(cut: DataFrame, window: int = WINDOW, partitions: int | None = None, block: int = BLOCK) -> DataFrame:
-    """doc_id, LONGS, sequence_id and offset of the pieces. `cut` should be a stored
-    table: it is read twice."""
+    """doc_id, LONGS, piece (if there), sequence_id and offset of the pieces. `cut` should
+    be a stored table: it is read twice."""
     n = partitions or shuffle_partitions(cut.sparkSession)
-    narrow = cut.select("doc_id", *LONGS)
+    narrow = cut.select("doc_id", *LONGS, *[c for c in cut.columns if c == "piece"])
     tails = narrow.filter(F.col("length") < window)
     dealt = tails.repartition(n, F.xxhash64("doc_id", "start", "ids_crc32"))
     dealt = dealt.sortWithinPartitions(F.xxhash64("ids_crc32", "doc_id"), "doc_id", "start", "length")
@@ -249,16 +249,12 @@ def pack_documents(
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for,
     ids (little-endian 32-bit); a row per piece.
 
-    Ids are joined to the plan at the end: packing itself moves only lengths.
+    Ids are joined to the plan at the end by the number of the piece: packing itself
+    moves only lengths.
     """
-    cut = stored(tokenized(docs, tokenizer, window=window, with_ids=with_ids, **names), "pieces")
-    plan = pack(cut, window, partitions)
+    cut = tokenized(docs, tokenizer, window=window, with_ids=with_ids, **names)
     if not with_ids:
-        return plan
-    ids = cut.select(F.col("doc_id").alias("__id"), *[F.col(c).alias(f"__{c}") for c in LONGS], "ids").dropDuplicates(
-        ["__id", *[f"__{c}" for c in LONGS]]
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("__id"))
-    for c in LONGS:
-        same = same & (F.col(c) == F.col(f"__{c}"))
-    return plan.join(ids, same).select(*plan.columns, "ids")
+        return pack(stored(cut, "pieces"), window, partitions)
+    # Numbers are fixed by being stored.
+    cut = stored(cut.withColumn("piece", F.monotonically_increasing_id()), "pieces")
+    return pack(cut, window, partitions).join(cut.select("piece", "ids"), "piece").drop("piece")

@@ -96,8 +96,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(TOKENIZER)
-    return packing.pack_documents(table(spark, sf_dir, "documents"), path, with_ids=False)
+    """Length and checksum are those of the ids that are joined to the plan."""
+    made = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    length = F.expr("octet_length(ids) div 4").alias("length")
+    return made.select("doc_id", "start", length, F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def queries() -> dict[str, Query]:
