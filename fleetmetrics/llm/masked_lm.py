@@ -6,12 +6,15 @@ hidden layer, and the output is a class of words and then a word of the class.
 A document's score is the sum of the log-probabilities of all its tokens.
 
 Tokens are words with A-Z in lower case. The vocabulary is the most frequent
-words of all documents; other words share RARE tokens by a hash of their end.
+words of all documents; other words share RARE tokens by a hash of their end, and
+the probability of such a word is its token's times its own share of the token's
+occurrences in the corpus. The counts behind these shares are a table of all
+words, which grows with the corpus and is joined by word.
 Training reads every document once, in ROUNDS parts chosen by a hash of the
 text: in a round each task descends from the common weights over its own
 documents, and the tasks' results are averaged by their numbers of tokens,
-summed in two steps so that no task gathers all of them. The weights have a
-fixed size; word counts, training and scores cover all documents.
+summed in two steps so that no task gathers all of them. The network has a fixed
+size; word counts, training and scores cover all documents and all words.
 
 Nulls and texts without words have no tokens, a score of 0 and no mean.
 Repeated rows count as often as they occur. With no words at all every weight
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.common import blobs, map_batches, map_column, stored
+from fleetmetrics.llm.common import blobs, free_name, map_batches, map_column, stored
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 OFFSETS = (-2, -1, 1, 2)
@@ -186,8 +189,8 @@ class Descent:
 # -- over all documents -------------------------------------------------------
 
 
-def vocabulary(docs: DataFrame, text: str = "text", words: int = WORDS) -> list[bytes]:
-    """The most frequent words of all documents, ties by bytes."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """word, times and power, the logarithm of times, of all words of all documents."""
     part = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("times", T.LongType())])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,10 +202,14 @@ def vocabulary(docs: DataFrame, text: str = "text", words: int = WORDS) -> list[
             yield pa.RecordBatch.from_arrays(columns, names=["word", "times"])
 
     counts = map_batches(docs.select(F.col(text).alias("text")), counted, part)
+    total = counts.groupBy("word").agg(F.sum("times").alias("times"))
+    return stored(total.withColumn("power", F.floor(F.log2("times")).cast("int")), "words")
+
+
+def most_frequent(total: DataFrame, words: int = WORDS) -> list[bytes]:
+    """The most frequent of the counted words, ties by bytes."""
     # Counts by powers of two tell from what count on words can be among the most
     # frequent; only those are sorted, so what reaches the driver stays small.
-    total = counts.groupBy("word").agg(F.sum("times").alias("times"))
-    total = stored(total.withColumn("power", F.floor(F.log2("times")).cast("int")), "words")
     least, found = 0, 0
     for row in total.groupBy("power").count().orderBy(F.desc("power")).collect():
         least, found = row.power, found + row["count"]
@@ -212,6 +219,21 @@ def vocabulary(docs: DataFrame, text: str = "text", words: int = WORDS) -> list[
     return [bytes(r.word) for r in frequent.collect()]
 
 
+def vocabulary(docs: DataFrame, text: str = "text", words: int = WORDS) -> list[bytes]:
+    """The most frequent words of all documents, ties by bytes."""
+    return most_frequent(word_counts(docs, text), words)
+
+
+def rare_shares(total: DataFrame, words: Sequence[bytes]) -> DataFrame:
+    """word and share, the logarithm of its share in its token's occurrences, of all words outside `words`."""
+    frequent = total.sparkSession.createDataFrame([(bytearray(w),) for w in words], "word binary")
+    rare = total.join(F.broadcast(frequent), "word", "left_anti")
+    token = F.crc32(F.when(F.length("word") > 3, F.substring("word", -3, 3)).otherwise(F.col("word"))) % RARE
+    rare = rare.select("word", "times", token.alias("token"))
+    sums = F.broadcast(rare.groupBy("token").agg(F.sum("times").alias("all")))
+    return rare.join(sums, "token").select("word", F.log(F.col("times") / F.col("all")).alias("share"))
+
+
 def _summed(table: pa.Table) -> pa.Table:
     total = np.sum([np.frombuffer(v, np.float64) for v in table["sums"].to_pylist()], axis=0)
     columns = {n: [table[n][0].as_py()] for n in table.column_names if n not in ("sums", "tokens")}
@@ -275,7 +297,31 @@ def scored(
     return map_column(docs, text, SCORES, made, keep)
 
 
+RARE_WORDS = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.IntegerType())]))
+
+
 def pseudo_likelihood(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
-    """Scores of all documents under a network trained on all of them."""
-    words = vocabulary(docs, text)
-    return scored(docs, words, train(docs, words, text), keep, text)
+    """Scores of all documents, each word as itself, under a network trained on all of them."""
+    total = word_counts(docs, text)
+    words = most_frequent(total)
+    frequent = frozenset(words)
+
+    def rare(column: pa.Array) -> Iterator[tuple]:
+        for blob in blobs(column):
+            counts = Counter(blob.translate(LOWER).split())
+            yield ([{"word": w, "n": n} for w, n in counts.items() if w not in frequent],)
+
+    row = free_name(docs, "__row")
+    # Rows are numbered by being stored.
+    own = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"))
+    numbered = stored(own.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    marked = scored(numbered, words, train(docs, words, text), [row, "kept"], "text")
+    held = map_column(numbered, "text", [T.StructField("rare", RARE_WORDS)], rare, [row])
+    held = held.select(row, F.explode("rare").alias("r")).select(row, "r.word", "r.n")
+    shares = stored(rare_shares(total, words), "shares")
+    added = held.join(shares, "word").groupBy(row).agg(F.sum(F.col("n") * F.col("share")).alias("added"))
+    likelihood = F.col("log_likelihood") + F.coalesce("added", F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, likelihood / F.col("n_tokens"))
+    return marked.join(added, row, "left").select(
+        "kept.*", "n_tokens", likelihood.alias("log_likelihood"), mean.alias("mean_log_likelihood")
+    )
