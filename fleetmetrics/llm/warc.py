@@ -41,7 +41,6 @@ from fleetmetrics.llm.common import map_batches, shuffle_partitions, stored
 ARCHIVE_BYTES = 64 << 20
 LEVEL = 6
 STEP = 1 << 18
-HEADER = 1 << 20
 DATE = "2024-01-01T00:00:00Z"
 GZIP = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
@@ -223,7 +222,7 @@ def header(data: bytes) -> tuple[dict[str, str], int]:
 def plain(source: Source, offset: int) -> tuple[bytes, int]:
     """The record here that is not compressed, and its length."""
     head, size = source.at(offset, STEP), STEP
-    while b"\r\n\r\n" not in head and len(head) == size < HEADER:
+    while LINE.match(head) and b"\r\n\r\n" not in head and len(head) == size:
         size *= 2
         head = source.at(offset, size)
     fields, begin = header(head)

@@ -1,0 +1,18 @@
+"""Long headers of records that are not compressed."""
+
+import pyarrow as pa
+import pytest
+
+from fleetmetrics.llm import warc
+
+
+def test_a_long_plain_header_is_read_to_its_end():
+    data = warc.record(7, "http://a/" + "x" * (3 << 20), b"body", None)
+    source = warc.Source(pa.BufferReader(b"before" + data + b"after"))
+    assert warc.plain(source, 6) == (data, len(data))
+
+
+def test_a_header_without_an_end_is_damage():
+    source = warc.Source(pa.BufferReader(b"WARC/1.1\r\n" + b"x" * (3 << 20)))
+    with pytest.raises(warc.Damaged, match="without an end"):
+        warc.plain(source, 0)
