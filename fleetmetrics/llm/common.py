@@ -101,8 +101,8 @@ def map_column(
     """The columns `keep` and, from `function` over the batches of `source`, new ones.
 
     `function` takes an Arrow column of at most SLICE texts and gives a tuple per
-    row. Rows stay in their partitions, a batch at a time; only a slice's texts
-    become Python objects at once.
+    row. Rows stay in their partitions; only a slice's texts and results are
+    Python objects at once.
     """
     sent = frame.select(F.col(f"`{source}`").alias(free_name(frame, "__source")), *[F.col(f"`{c}`") for c in keep])
     schema = T.StructType([*sent.schema.fields[1:], *new])
@@ -110,11 +110,10 @@ def map_column(
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0)
-            rows = [r for at in range(0, len(texts), SLICE) for r in function(texts.slice(at, SLICE))]
-            columns = zip(*rows, strict=True) if rows else [[] for _ in arrow]
-            made = [pa.array(v, f.type) for v, f in zip(columns, arrow, strict=True)]
-            names = [*batch.schema.names[1:], *arrow.names]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], names=names)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                columns = zip(*function(part.column(0)), strict=True)
+                made = [pa.array(v, f.type) for v, f in zip(columns, arrow, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *made], names=[*part.schema.names[1:], *arrow.names])
 
     return map_batches(sent, mapped, schema)

@@ -101,5 +101,72 @@ FROM d LEFT JOIN listed USING (r)
 """
 
 
+OP12 = """
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+    list_transform(range(0, 4), lambda i: ('0x' || substr(sha256('1:' || coalesce(doc_id::VARCHAR, '')), 1 + 8 * i::INT, 8))::BIGINT) AS h
+  FROM documents
+), c AS (
+  SELECT doc_id, t, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS low, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+      WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t
+    WHEN 'psm' THEN '<P>' || substr(t, 1, low) || '<S>' || substr(t, high + 1) || '<M>' || substr(t, low + 1, high - low)
+    ELSE '<S>' || substr(t, high + 1) || '<P>' || substr(t, 1, low) || '<M>' || substr(t, low + 1, high - low) END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM c
+"""
+
+#: The CRC-32 of every distinct word, a byte at a time: eight shifts for each.
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark
+), dw AS (SELECT doc_id, unnest(ws) AS w FROM d),
+bytes AS (
+  SELECT w, list_transform(range(0, (length(hex(encode(w))) // 2)::BIGINT),
+    lambda i: ('0x' || substr(hex(encode(w)), 1 + 2 * i::INT, 2))::BIGINT) AS own
+  FROM (SELECT w FROM dw UNION SELECT w FROM b)
+), buckets AS (
+  SELECT w, xor(list_reduce(own, lambda crc, byte:
+    list_reduce(range(0, 8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(crc, byte)),
+    4294967295), 4294967295) % 10000 AS bucket
+  FROM bytes
+), s AS (SELECT bucket, count(*) AS s FROM dw JOIN buckets USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN buckets USING (w) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT sum(s) FROM s) + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * (coalesce((SELECT sum(t) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)
+), weights AS (
+  SELECT doc_id, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM dw JOIN buckets USING (w) JOIN gains USING (bucket) GROUP BY doc_id
+), scores AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (doc_id)
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scores WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN rank <= (SELECT count(*) FROM ranked) * 10 // 100 THEN rank END AS rank
+FROM scores LEFT JOIN ranked USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op4_warc": OP4, "op5_secret_index": _op5(), "op7_content_sort": OP7}
+    return {
+        "op1_decontamination": OP1,
+        "op4_warc": OP4,
+        "op5_secret_index": _op5(),
+        "op7_content_sort": OP7,
+        "op12_fill_middle": OP12,
+        "op13_resample": OP13,
+    }

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 from fleetmetrics.llm import (
     content_sort,
     decontaminate,
+    fill_middle,
+    hypervectors,
     line_chunks,
     masked_lm,
     packing,
     quality,
+    resample,
     secret_index,
     simhash,
     url_rules,
@@ -102,6 +105,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "start", length, F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = hypervectors.identified(docs, hypervectors.train(docs))
+    return found.select("doc_id", quality.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents")).select("doc_id", "fim.*")
+    again = fill_middle.restored(F.col("output"), F.col("form"))
+    digests = [F.sha2(F.col("output"), 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return made.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -116,5 +137,8 @@ def queries() -> dict[str, Query]:
             op8_line_chunks,
             op9_quality,
             op10_packing,
+            op11_language,
+            op12_fill_middle,
+            op13_resample,
         )
     }

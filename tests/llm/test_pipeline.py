@@ -71,7 +71,7 @@ def test_run_gives_the_last_stage(spark, corpus):
 def test_registered():
     names = contract.queries()
     assert names["pipeline"] is corpus_pipeline.run
-    assert [n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")] == [n for n in names if n.startswith("op")]
+    assert [n for k in range(1, 14) for n in names if n.startswith(f"op{k}_")] == [n for n in names if n.startswith("op")]
     assert "pipeline" not in contract.oracle_sql()
 
 
