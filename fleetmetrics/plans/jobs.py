@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmetrics.functions.clock import minutes, ntz
+from fleetmetrics.operators import partials
 from fleetmetrics.operators.decode import CONSTRAINT, classify_messages
 from fleetmetrics.operators.ingest import (
     assign_source_ids,
@@ -20,6 +21,7 @@ from fleetmetrics.operators.merge import stamp_cursors, upsert_control
 from fleetmetrics.operators.windows import (
     FIRST_LOAD_BOUND,
     MAX_CLOSED,
+    WINDOW_KEY,
     check_parameters,
     closed_windows,
     cursor_updates,
@@ -32,10 +34,12 @@ from fleetmetrics.operators.windows import (
 )
 from fleetmetrics.schemas import BUFFER, CONTROL, RAW
 from fleetmetrics.session import empty
+from fleetmetrics.sources.commits import Conflict
 from fleetmetrics.sources.store import (
     INGEST_LOG,
     READINGS_LOG,
     REFRESH_LOG,
+    TIME_COLUMN,
     Manifest,
     TelemetryStore,
 )
@@ -44,6 +48,10 @@ from fleetmetrics.sources.store import (
 # scan; with more, whole days are picked while the query runs. No other day is
 # read either way.
 PUSHED_DAYS = 200
+# Affected windows up to which the files that hold them are looked up in the zone
+# map, and files up to which they are opened by name.
+NARROW_WINDOWS = 1000
+NARROW_FILES = 4000
 # Readings further ahead than this are left to the scan of their own date.
 NEAR_FUTURE = timedelta(days=1)
 
@@ -85,7 +93,7 @@ def receive_messages(
     manifest = store.manifest(READINGS_LOG)
     if _already_done(manifest, source, source_batch):
         return 0
-    batch_id = manifest.next_id
+    batch_id = store.claim(READINGS_LOG, manifest)
     classified = classify_messages(messages.select(F.col(value).cast("string").alias("value")))
     rejected = F.col("reject_reason").isNotNull()
     text = F.when(rejected, F.col("value"))
@@ -93,17 +101,24 @@ def receive_messages(
     staged.write.mode("overwrite").partitionBy("rejected").parquet(store.path("staged", batch_id))
 
     accepted = store.written("staged", batch_id).filter(~F.col("rejected"))
-    base = max(manifest.max_id, manifest.state.get("max_id", 0))
-    numbered = assign_source_ids(accepted.select(*BUFFER.fieldNames()[1:]), base)
-    store.write("buffer", numbered, batch_id)
-    added, found = store.describe("buffer", batch_id)
-    state = {
-        "staged": True,
-        "sources": {**manifest.state.get("sources", {}), source: source_batch},
-        "max_id": base + found["rows"],
-    }
-    _commit(store, READINGS_LOG, manifest.extended(*([added] if added else []), **state))
-    return found["rows"]
+    accepted = accepted.select(*BUFFER.fieldNames()[1:])
+    while True:
+        base = max(manifest.max_id, manifest.state.get("max_id", 0))
+        store.write("buffer", assign_source_ids(accepted, base), batch_id)
+        added, found = store.describe("buffer", batch_id)
+        state = {
+            "staged": True,
+            "sources": {**manifest.state.get("sources", {}), source: source_batch},
+            "max_id": base + found["rows"],
+        }
+        batches = [added] if added else []
+        try:
+            _commit(store, READINGS_LOG, manifest.extended(*batches, used=batch_id, **state))
+            return found["rows"]
+        except Conflict:  # another source came first: the ids follow its own
+            manifest = store.manifest(READINGS_LOG)
+            if _already_done(manifest, source, source_batch):
+                return 0
 
 
 # -- buffer -> raw ------------------------------------------------------------
@@ -140,16 +155,15 @@ def append_raw(
 
     Only raw batches that reach into the rows' id range are looked at. After an
     incremental scan there are none, and the plan has no join. Rows that break
-    a rule of the table go to the quarantine, and the cursor passes them.
+    a rule of the table go to the quarantine, and the cursor passes them. Several
+    writers may append at once: whoever commits second compares its rows with
+    those of the first.
     """
     extent = extent or _extent(rows)
     if not extent.found:
         return 0
     low, high = extent.low or 0, extent.high or 0
-    overlapping = tuple(b for b in manifest.batches if b.max_id >= low and b.min_id <= high)
-    existing = store.open("raw", overlapping).filter(F.col("nSourceId").between(low, high))
-    batch_id = manifest.next_id
-    state = {"cursor": max(high, manifest.state.get("cursor", 0))}
+    batch_id = store.claim(INGEST_LOG, manifest)
     if extent.refused:
         refused = rows.withColumn("reject_field", raw_violation()).filter("reject_field IS NOT NULL")
         body = F.to_json(F.struct(*RAW.fieldNames()), {"ignoreNullFields": "false"})
@@ -159,14 +173,34 @@ def append_raw(
             batch_id,
         )
         rows = rows.filter(raw_violation().isNull())
-        state["rejected"] = True
-    if overlapping or not numbered:
-        rows = idempotent_append(existing, rows)
-    store.write("raw", rows.select(*RAW.fieldNames()), batch_id)
-    added, found = store.describe("raw", batch_id)
-    if added or extent.refused:
-        _commit(store, INGEST_LOG, manifest.extended(*([added] if added else []), **state))
-    return found["rows"]
+    seen: Manifest | None = None
+    while True:
+        overlapping = tuple(b for b in manifest.batches if b.max_id >= low and b.min_id <= high)
+        known = set(seen.batches) if seen else set()
+        if seen is None or any(b not in known for b in overlapping):
+            existing = store.open("raw", overlapping).filter(F.col("nSourceId").between(low, high))
+            fresh = idempotent_append(existing, rows) if overlapping or not numbered else rows
+            store.write("raw", fresh.select(*RAW.fieldNames()), batch_id)
+            inexact = F.count_if(partials.inexact()).alias("inexact")
+            added, found = store.describe("raw", batch_id, inexact)
+            if added:
+                store.write_partials(batch_id)
+        if not added and not extent.refused:
+            return 0
+        state = {"cursor": max(high, manifest.state.get("cursor", 0))}
+        if extent.refused:
+            state["rejected"] = True
+        # Minutes are summed up from the first load on.
+        if not manifest.batches or manifest.state.get("partials"):
+            state["partials"] = True
+        if found["inexact"]:
+            state["inexact"] = True
+        batches = [added] if added else []
+        try:
+            _commit(store, INGEST_LOG, manifest.extended(*batches, used=batch_id, **state))
+            return found["rows"]
+        except Conflict:  # what was written stands unless new batches reach into its ids
+            seen, manifest = manifest, store.manifest(INGEST_LOG)
 
 
 def ingest(store: TelemetryStore, as_of: datetime, source: DataFrame | None = None) -> IngestCounts:
@@ -253,6 +287,21 @@ def _affected_days(affected: DataFrame, window_minutes: int) -> DataFrame:
     return days.groupBy("day").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
+def _in_days(rows: DataFrame, days: DataFrame, bounds: list, time: str) -> DataFrame:
+    """Rows of a dated table within the days' bounds; ``bounds`` are the collected days."""
+    day = "event_date"
+    if len(bounds) > PUSHED_DAYS:
+        picked = days.select(F.col("day").alias(day), "low", "high")
+        inside = (F.col(time) >= F.col("low")) & (F.col(time) < F.col("high"))
+        return rows.join(F.broadcast(picked), day).filter(inside).select(*rows.columns)
+    wanted = F.lit(False)
+    for bound in bounds:
+        wanted = wanted | (
+            (F.col(day) == F.lit(bound.day)) & (F.col(time) >= ntz(bound.low)) & (F.col(time) < ntz(bound.high))
+        )
+    return rows.filter(wanted)
+
+
 def _prune_to_windows(
     readings: DataFrame, affected: DataFrame, window_minutes: int
 ) -> DataFrame | None:
@@ -261,22 +310,60 @@ def _prune_to_windows(
     The driver sees one row per affected day.
     """
     days = _affected_days(affected, window_minutes)
-    rows = days.collect()
-    if not rows:
+    bounds = days.collect()
+    return _in_days(readings, days, bounds, "dtInsert") if bounds else None
+
+
+def _affected_readings(
+    store: TelemetryStore, loaded: Manifest, table: str, affected: DataFrame, window_minutes: int
+) -> DataFrame | None:
+    """Rows of a dated table that may lie in the affected windows; None without any.
+
+    With few affected windows, clustered batches are read by the files that their
+    zone map names; all else goes by days and hours.
+    """
+    time = TIME_COLUMN[table]
+    days = _affected_days(affected, window_minutes)
+    bounds = days.collect()
+    if not bounds:
         return None
-    if len(rows) > PUSHED_DAYS:
-        picked = days.select(F.col("day").alias("event_date"), "low", "high")
-        inside = (F.col("dtInsert") >= F.col("low")) & (F.col("dtInsert") < F.col("high"))
-        joined = readings.join(F.broadcast(picked), "event_date").filter(inside)
-        return joined.select(*readings.columns)
-    wanted = F.lit(False)
-    for row in rows:
-        wanted = wanted | (
-            (F.col("event_date") == F.lit(row.day))
-            & (F.col("dtInsert") >= ntz(row.low))
-            & (F.col("dtInsert") < ntz(row.high))
-        )
-    return readings.filter(wanted)
+    clustered = tuple(b for b in loaded.batches if b.clustered)
+    if clustered:
+        few = affected.select(*WINDOW_KEY).limit(NARROW_WINDOWS + 1).collect()
+        if len(few) <= NARROW_WINDOWS:
+            schema = affected.select(*WINDOW_KEY).schema
+            known = store.spark.createDataFrame([tuple(r) for r in few], schema)
+            files = store.window_files(clustered, known, window_minutes, table, NARROW_FILES)
+            if files is not None:
+                rest = tuple(b for b in loaded.batches if not b.clustered)
+                rows = store.open(table, rest).unionByName(store.open_files(table, files))
+                machines = sorted({r.strMachineName for r in few})
+                return _in_days(rows, days, bounds, time).filter(F.col("strMachineName").isin(machines))
+    return _in_days(store.open(table, loaded.batches), days, bounds, time)
+
+
+def _recomputed(store: TelemetryStore, loaded: Manifest, affected: DataFrame, window_minutes: int) -> DataFrame | None:
+    """Metrics of the affected windows from their minutes; None without any.
+
+    Windows that hold values whose sums the minutes cannot keep are computed from
+    their readings, as are all when the store's first loads kept no minutes.
+    """
+
+    def from_readings(which: DataFrame) -> DataFrame | None:
+        rows = _affected_readings(store, loaded, "raw", which, window_minutes)
+        return None if rows is None else recompute_windows(rows, which, window_minutes)
+
+    if not loaded.state.get("partials"):
+        return from_readings(affected)
+    found = _affected_readings(store, loaded, "partials", affected, window_minutes)
+    if found is None:
+        return None
+    merged = partials.merge_windows(found, affected, window_minutes)
+    if not loaded.state.get("inexact"):
+        return merged.drop("nInexact")
+    exact = merged.filter("nInexact = 0").drop("nInexact")
+    again = from_readings(merged.filter("nInexact > 0").select(*WINDOW_KEY))
+    return exact if again is None else exact.unionByName(again)
 
 
 def refresh_metrics(
@@ -290,13 +377,23 @@ def refresh_metrics(
     """Recompute the closed windows with new readings; advance the cursors.
 
     Metrics, then cursors, then the manifest are written, so both appear
-    together or not at all. Needs no more than one running refresh per store.
+    together or not at all. A refresh that another one has overtaken starts
+    again from what that one has written.
     """
     check_parameters(window_minutes, watermark_seconds)
+    while True:
+        try:
+            return _refresh(store, as_of, threshold, window_minutes, watermark_seconds, cursor)
+        except Conflict:
+            continue
+
+
+def _refresh(
+    store: TelemetryStore, as_of: datetime, threshold: int, window_minutes: int, watermark_seconds: int, cursor: str
+) -> RefreshCounts:
     refreshed = store.manifest(REFRESH_LOG)
     loaded = store.manifest(INGEST_LOG)
     control = store.control(refreshed)
-    batch_id = refreshed.next_id
 
     scan = _candidate_scan(store, loaded, refreshed, as_of, window_minutes)
     pending = window_pending(scan, control, as_of, window_minutes)
@@ -304,15 +401,15 @@ def refresh_metrics(
     try:
         affected = closed_windows(pending, as_of, watermark_seconds, window_minutes)
         # The same snapshot as the scan: readings loaded meanwhile wait.
-        pruned = _prune_to_windows(store.open("raw", loaded.batches), affected, window_minutes)
+        metrics = _recomputed(store, loaded, affected, window_minutes)
         state = {"as_of": as_of.isoformat(sep=" "), "loaded": loaded.snapshot}
-        if pruned is None:
+        if metrics is None:
             low_water = _low_water(pending, control, control, loaded, as_of)
             store.commit(REFRESH_LOG, refreshed.extended(low_water=low_water, **state))
             return RefreshCounts(0, 0)
 
-        metrics = flag_alerts(recompute_windows(pruned, affected, window_minutes), threshold)
-        store.write("metrics", stamp_metrics(metrics, as_of), batch_id)
+        batch_id = store.claim(REFRESH_LOG, refreshed)
+        store.write("metrics", stamp_metrics(flag_alerts(metrics, threshold), as_of), batch_id)
         added, found = store.describe(
             "metrics", batch_id, F.count_distinct("strMachineName").alias("machines")
         )
@@ -325,7 +422,7 @@ def refresh_metrics(
         low_water = _low_water(pending, control, advanced, loaded, as_of)
         batches = [added] if added else []
         state |= {"control": batch_id, "low_water": low_water}
-        _commit(store, REFRESH_LOG, refreshed.extended(*batches, **state))
+        _commit(store, REFRESH_LOG, refreshed.extended(*batches, used=batch_id, **state))
         return RefreshCounts(found["rows"], found["machines"])
     finally:
         pending.unpersist()

@@ -209,9 +209,17 @@ def _delay(rows: str, earlier: str, later: str, count: str) -> str:
       FROM {rows} GROUP BY strMachineName"""
 
 
+#: Queries that come to a result by another way.
+SAME_RESULT = {
+    "concurrent_ingest": "ingest_job",
+    "recompute_partials": "recompute_windows",
+    "late_recompute_clustered": "late_recompute",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     periods = {60: "Last hour", 360: "Last 6 hours", 720: "Last 12 hours", 1440: "Last 24 hours"}
-    return {
+    found = {
         "decode_messages": _query("SELECT * FROM received"),
         "quarantine_messages": _query(
             """SELECT nId,
@@ -473,3 +481,4 @@ def oracle_sql() -> dict[str, str]:
             KEPT,
         ),
     }
+    return found | {name: found[other] for name, other in SAME_RESULT.items()}

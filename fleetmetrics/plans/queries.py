@@ -1,12 +1,13 @@
 """The registered queries: every operator over whole test tables."""
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmetrics.functions.values import rounded_int
-from fleetmetrics.operators import decode, fleet, ingest, latency, merge, windows
+from fleetmetrics.operators import decode, fleet, ingest, latency, merge, partials, windows
 from fleetmetrics.plans import fixtures, jobs
 from fleetmetrics.session import scratch_folder
 from fleetmetrics.sources.store import INGEST_LOG, TelemetryStore
@@ -96,6 +97,21 @@ def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.raw()
 
 
+def concurrent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers at once, whose loads share half of their rows."""
+    root = scratch_folder(spark, "concurrent")
+    TelemetryStore.create(spark, root)
+    raw = fixtures.cadence(spark, sf_dir)
+    as_of, half = fixtures.latest_reading(raw), fixtures.half_way(raw)
+    buffer = fixtures.cadence_buffer(fixtures.events(spark, sf_dir))
+    loads = [buffer.filter(F.col("nId") <= half + half // 2), buffer]
+    with ThreadPoolExecutor(len(loads)) as writers:
+        done = [writers.submit(jobs.ingest, TelemetryStore(spark, root), as_of, load) for load in loads]
+        for one in done:
+            one.result()
+    return TelemetryStore(spark, root).raw()
+
+
 def _text_buffer(spark: SparkSession, sf_dir: str) -> TelemetryStore:
     """A store after loading a buffer with dates as text and every eighth row broken."""
     store = TelemetryStore.create(spark, scratch_folder(spark, "text"))
@@ -181,6 +197,15 @@ def recompute_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(windows.recompute_windows(raw, affected, OVERLAPPING))
 
 
+def recompute_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The affected windows from minutes of two loads, without their readings."""
+    raw = fixtures.cadence(spark, sf_dir)
+    affected = windows.affected_windows(_closed(spark, sf_dir))
+    first = F.col("nSourceId") <= fixtures.half_way(raw)
+    minutes = partials.minute_partials(raw.filter(first)).unionByName(partials.minute_partials(raw.filter(~first)))
+    return _rounded(partials.merge_windows(minutes, affected).drop("nInexact"))
+
+
 def window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(windows.window_metrics(fixtures.cadence(spark, sf_dir)))
 
@@ -255,6 +280,21 @@ def late_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(store.metrics())
 
 
+def late_recompute_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As late_recompute, but what was loaded first lies merged along the curve."""
+    store = TelemetryStore.create(spark, scratch_folder(spark, "clustered"))
+    raw = fixtures.cadence(spark, sf_dir)
+    half = fixtures.half_way(raw)
+    first = raw.filter(F.col("nSourceId") <= half)
+    for part in (first.filter(F.col("nSourceId") <= half // 2), first):
+        jobs.append_raw(store, store.manifest(INGEST_LOG), part)
+    store.compact(INGEST_LOG, min_batches=2, file_rows=1000)
+    jobs.refresh_metrics(store, fixtures.latest_reading(first))
+    jobs.append_raw(store, store.manifest(INGEST_LOG), raw)
+    jobs.refresh_metrics(store, fixtures.latest_reading(raw))
+    return _rounded(store.metrics())
+
+
 # -- fleet views --------------------------------------------------------------
 
 
@@ -432,6 +472,7 @@ CATALOGUE: tuple[Query, ...] = (
     temperature_rounding,
     idempotent_append,
     ingest_job,
+    concurrent_ingest,
     ingest_text_buffer,
     ingest_text_refused,
     assign_windows,
@@ -441,6 +482,7 @@ CATALOGUE: tuple[Query, ...] = (
     affected_windows,
     recompute_windows,
     recompute_overlapping,
+    recompute_partials,
     window_metrics,
     temperature_alerts,
     processed_sources,
@@ -452,6 +494,7 @@ CATALOGUE: tuple[Query, ...] = (
     upsert_metrics,
     upsert_control,
     late_recompute,
+    late_recompute_clustered,
     metrics_last_period,
     period_view_store,
     period_rollup,

@@ -2,29 +2,34 @@
 
 A table is a folder of batches, ``<table>/batch_id=N/...``. A batch is visible
 once it is listed in its log's manifest, so a job that dies half-way leaves
-nothing behind but a folder that its next attempt overwrites. One log has one
-writer at a time; different logs are independent.
+nothing behind but a folder that ``expire`` deletes. A batch id is claimed by one
+writer for good, and a manifest has a number that only one writer can commit:
+of two writers that started from one manifest, the second gets a ``Conflict``
+and has to look at what has changed.
 
 The manifest holds one row per live batch with its id and date range. Readers
-open just the batches they need instead of listing the whole table. Manifests
-rotate over a few slots: the one overwritten is never the newest.
+open just the batches they need instead of listing the whole table. Merged
+batches of readings are clustered by machine and time, and a zone map tells
+which of their files hold a machine's stretch of time.
 """
 
 import json
 from dataclasses import asdict, dataclass, field, replace
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import or_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetmetrics.functions import clustering
 from fleetmetrics.operators.fleet import last_period
 from fleetmetrics.operators.merge import latest_metrics
+from fleetmetrics.operators.partials import PARTIALS, minute_partials, summed_partials
 from fleetmetrics.schemas import BUFFER, CONTROL, METRICS, QUARANTINE, RAW
 from fleetmetrics.session import empty
-
-SLOTS = 4
+from fleetmetrics.sources.commits import Conflict, NumberedFiles
 
 READINGS_LOG = "readings"
 INGEST_LOG = "ingest"
@@ -44,22 +49,37 @@ TABLES = {
     ),
     "buffer": _with(BUFFER, _BATCH),
     "raw": _with(RAW, _BATCH, ("event_date", T.DateType())),
+    "partials": _with(PARTIALS, _BATCH, ("event_date", T.DateType())),
     "metrics": _with(METRICS, _BATCH, ("window_date", T.DateType())),
     "control": _with(CONTROL, _BATCH),
     "rejected": _with(QUARANTINE, _BATCH),
 }
-ID_COLUMN = {"buffer": "nId", "raw": "nSourceId", "metrics": "nLastSourceId"}
-DATE_COLUMN = {"raw": "event_date", "metrics": "window_date"}
-TIME_COLUMN = {"raw": "dtInsert", "metrics": "dtWindowStart"}
+ID_COLUMN = {"buffer": "nId", "raw": "nSourceId", "partials": "nLastSourceId", "metrics": "nLastSourceId"}
+DATE_COLUMN = {"raw": "event_date", "partials": "event_date", "metrics": "window_date"}
+TIME_COLUMN = {"raw": "dtInsert", "partials": "dtMinute", "metrics": "dtWindowStart"}
 LOG_TABLE = {READINGS_LOG: "buffer", INGEST_LOG: "raw", REFRESH_LOG: "metrics"}
-# Written beside a log's table under the same batch ids; any id up to the
-# snapshot is live, so these need no list.
+# Written beside a log's table under the same batch ids; every committed id is live.
 SIDE_TABLE = {READINGS_LOG: "staged", INGEST_LOG: "rejected"}
 
+# Readings per minute of a machine, added up under the batch ids of the readings.
+PARTIAL_OF = {"raw": "partials"}
+ZONES = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("day", T.DateType()),
+        T.StructField("low_bucket", T.IntegerType()),
+        T.StructField("high_bucket", T.IntegerType()),
+        T.StructField("low", T.TimestampNTZType()),
+        T.StructField("high", T.TimestampNTZType()),
+    ]
+)
+#: Rows of a file of a clustered batch.
+FILE_ROWS = 4_000_000
+
 
 @dataclass(frozen=True)
 class Batch:
-    """A live batch. ``origin`` is the newest load that went into it."""
+    """A live batch. ``origin`` is the newest load that went into it; a clustered one has zones."""
 
     batch_id: int
     origin: int
@@ -68,6 +88,7 @@ class Batch:
     max_id: int
     first_date: str | None = None
     last_date: str | None = None
+    clustered: bool = False
 
 
 @dataclass(frozen=True)
@@ -78,17 +99,38 @@ class Manifest:
     batches: tuple[Batch, ...] = ()
     state: dict = field(default_factory=dict)
 
+    @property
+    def ids(self) -> list[list[int]]:
+        """All committed batch ids, as ranges [first, last]."""
+        return self.state.get("ids", [])
+
     @property
     def next_id(self) -> int:
-        return self.snapshot + 1
+        """The lowest batch id that may be free."""
+        return max(self.snapshot, self.ids[-1][1] if self.ids else 0) + 1
 
     @property
     def max_id(self) -> int:
         return max((b.max_id for b in self.batches), default=0)
 
-    def extended(self, *added: Batch, dropped: tuple[Batch, ...] = (), **state) -> "Manifest":
+    def extended(
+        self, *added: Batch, used: int | None = None, dropped: tuple[Batch, ...] = (), **state
+    ) -> "Manifest":
+        """The next manifest; ``used`` is the batch id that is committed with it."""
         kept = tuple(b for b in self.batches if b not in dropped)
-        return Manifest(self.next_id, kept + added, {**self.state, **state})
+        ids = self.ids if used is None else _with_id(self.ids, used)
+        return Manifest(self.snapshot + 1, kept + added, {**self.state, "ids": ids, **state})
+
+
+def _with_id(ids: list[list[int]], new: int) -> list[list[int]]:
+    """The ranges with one more number."""
+    merged: list[list[int]] = []
+    for first, last in sorted([*ids, [new, new]]):
+        if merged and first <= merged[-1][1] + 1:
+            merged[-1][1] = max(last, merged[-1][1])
+        else:
+            merged.append([first, last])
+    return merged
 
 
 class TelemetryStore:
@@ -103,12 +145,11 @@ class TelemetryStore:
         """An empty store, or an existing one as it is."""
         store = cls(spark, root)
         for log in LOG_TABLE:
-            try:
-                store.manifest(log)
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_NOT_FOUND":
-                    raise
-                store.commit(log, Manifest())
+            if store._commits(log).newest() is None:
+                try:
+                    store.commit(log, Manifest())
+                except Conflict:  # created by another at the same time
+                    pass
         return store
 
     def path(self, table: str, batch_id: int) -> str:
@@ -116,27 +157,32 @@ class TelemetryStore:
 
     # -- manifests -----------------------------------------------------------
 
+    def _commits(self, log: str) -> NumberedFiles:
+        return NumberedFiles(self.spark, f"{self.root}/commits/{log}", "manifest")
+
     def manifest(self, log: str) -> Manifest:
-        slots = (
-            self.spark.read.schema("snapshot long, body string")
-            .option("ignoreMissingFiles", "true")
-            .json(f"{self.root}/commits/{log}")
-        )
-        newest = slots.orderBy(F.col("snapshot").desc()).first()
+        newest = self._commits(log).newest()
         if newest is None:
-            raise RuntimeError(f"no readable manifest for {log!r} below {self.root}")
-        body = json.loads(newest.body)
+            raise RuntimeError(f"no manifest for {log!r} below {self.root}")
+        body = json.loads(newest[1])
         batches = tuple(Batch(**b) for b in body["batches"])
-        return Manifest(newest.snapshot, batches, body["state"])
+        return Manifest(newest[0], batches, body["state"])
 
     def commit(self, log: str, manifest: Manifest) -> None:
+        """Make this the log's newest manifest; Conflict if there is one of its number."""
         body = {"batches": [asdict(b) for b in manifest.batches], "state": manifest.state}
-        slot = f"{self.root}/commits/{log}/slot={manifest.snapshot % SLOTS}"
-        row = self.spark.range(0, 1, 1, 1).select(
-            F.lit(manifest.snapshot).cast("long").alias("snapshot"),
-            F.lit(json.dumps(body)).alias("body"),
-        )
-        row.write.mode("overwrite").json(slot)
+        self._commits(log).put_next(manifest.snapshot, json.dumps(body))
+
+    def claim(self, log: str, manifest: Manifest) -> int:
+        """A batch id that no other writer has or will get."""
+        claims = NumberedFiles(self.spark, f"{self.root}/claims/{log}", "batch")
+        batch_id = manifest.next_id
+        while True:
+            try:
+                claims.put(batch_id, "")
+                return batch_id
+            except Conflict:
+                batch_id += 1
 
     # -- reading -------------------------------------------------------------
 
@@ -162,7 +208,8 @@ class TelemetryStore:
             if not manifest.state.get(table):
                 continue
             side = self.spark.read.schema(TABLES[table]).parquet(f"{self.root}/{table}")
-            live = side.filter(F.col("batch_id") <= manifest.snapshot)
+            committed = [F.col("batch_id").between(*ids) for ids in manifest.ids]
+            live = side.filter(reduce(or_, committed, F.lit(False)))
             if table == "staged":
                 live = live.filter("rejected")
             found = found.unionByName(live.select(*QUARANTINE.fieldNames()))
@@ -193,6 +240,40 @@ class TelemetryStore:
         ids = [state["control"]] if "control" in state else []
         return self.open("control", ids).select(*CONTROL.fieldNames())
 
+    def window_files(
+        self, batches: tuple[Batch, ...], affected: DataFrame, window_minutes: int, table: str, most: int
+    ) -> list[str] | None:
+        """The files of clustered batches that may hold readings of the affected windows.
+
+        ``affected`` holds few rows (machine, dtWindowStart). None for more files
+        than ``most``.
+        """
+        folder = f"{self.root}/zones_{table}"
+        zones = self.spark.read.schema(_with(ZONES, _BATCH)).option("basePath", folder)
+        zones = zones.parquet(*[f"{folder}/batch_id={b.batch_id}" for b in batches])
+        length = F.make_dt_interval(mins=F.lit(window_minutes))
+        wanted = affected.select(
+            clustering.bucket(F.col("strMachineName")).alias("bucket"),
+            F.col("dtWindowStart").alias("start"),
+            (F.col("dtWindowStart") + length).alias("end"),
+        )
+        last = F.to_date(F.col("end") - F.expr("INTERVAL '0.000001' SECOND"))
+        wanted = wanted.withColumn("day", F.explode(F.sequence(F.to_date("start"), last)))
+        inside = (F.col("bucket") >= F.col("low_bucket")) & (F.col("bucket") <= F.col("high_bucket"))
+        inside = inside & (F.col("high") >= F.col("start")) & (F.col("low") < F.col("end"))
+        met = zones.join(F.broadcast(wanted), "day").filter(inside).select("batch_id", "day", "file").distinct()
+        found = met.limit(most + 1).collect()
+        if len(found) > most:
+            return None
+        day = DATE_COLUMN[table]
+        return [f"{self.path(table, r.batch_id)}/{day}={r.day}/{r.file}" for r in found]
+
+    def open_files(self, table: str, files: list[str]) -> DataFrame:
+        if not files:
+            return empty(self.spark, TABLES[table])
+        reader = self.spark.read.schema(TABLES[table])
+        return reader.option("basePath", f"{self.root}/{table}").parquet(*files)
+
     # -- writing -------------------------------------------------------------
 
     def write(self, table: str, rows: DataFrame, batch_id: int) -> None:
@@ -212,6 +293,33 @@ class TelemetryStore:
         else:
             rows.write.mode("overwrite").parquet(target)
 
+    def write_partials(self, batch_id: int) -> None:
+        """Add up the written readings of a batch, per minute of each machine."""
+        readings = self.written("raw", batch_id).select(*RAW.fieldNames())
+        self.write("partials", minute_partials(readings), batch_id)
+
+    def write_clustered(self, table: str, rows: DataFrame, batch_id: int, files: int) -> None:
+        """Write one batch in about ``files`` files along a curve through machine and time
+        of each day, and its zone map."""
+        self._check(table, rows)
+        time, day = TIME_COLUMN[table], DATE_COLUMN[table]
+        dated = rows.withColumns({day: F.to_date(time), "__curve": clustering.curve(F.col("strMachineName"), F.col(time))})
+        dealt = dated.repartitionByRange(max(files, 1), day, "__curve", ID_COLUMN[table])
+        target = self.path(table, batch_id)
+        dealt.sortWithinPartitions(day, "__curve").drop("__curve").write.mode("overwrite").partitionBy(day).parquet(target)
+        bucket = clustering.bucket(F.col("strMachineName"))
+        zones = (
+            self.written(table, batch_id)
+            .groupBy(F.col("_metadata.file_name").alias("file"), F.col(day).alias("day"))
+            .agg(
+                F.min(bucket).alias("low_bucket"),
+                F.max(bucket).alias("high_bucket"),
+                F.min(time).alias("low"),
+                F.max(time).alias("high"),
+            )
+        )
+        zones.select(*ZONES.fieldNames()).write.mode("overwrite").parquet(f"{self.root}/zones_{table}/batch_id={batch_id}")
+
     def _check(self, table: str, rows: DataFrame) -> None:
         """Refuse rows that later reads of the table could not take."""
         own = ("batch_id", DATE_COLUMN.get(table))
@@ -258,13 +366,16 @@ class TelemetryStore:
         max_rows: int = 50_000_000,
         min_batches: int = 32,
         manifest: Manifest | None = None,
+        file_rows: int = FILE_ROWS,
     ) -> bool:
         """Merge a run of at least ``min_batches`` adjacent small batches into one.
 
         Large batches are left alone, so history is not rewritten each time. Of
         the metrics log only the newest run is merged: there the newest batch
-        wins. The log's own jobs call this after each commit with the manifest
-        they wrote; without a run it costs nothing. Replaced folders stay on
+        wins. Merged readings are clustered, with about ``file_rows`` in a file.
+        When another writer has replaced part of the run meanwhile, nothing is
+        changed. The log's own jobs call this after each commit with the
+        manifest they wrote; without a run it costs nothing. Replaced folders stay on
         disk for readers that opened them before, until ``expire``.
         """
         manifest = manifest or self.manifest(log)
@@ -280,20 +391,36 @@ class TelemetryStore:
         run = next((r for r in runs if len(r) >= min_batches), None)
         if run is None:
             return False
-        rows = self.open(table, tuple(run))
+        batch_id = self.claim(log, manifest)
+        rows = self.open(table, tuple(run)).drop("batch_id", DATE_COLUMN.get(table, ""))
         if table == "metrics":
-            rows = latest_metrics(rows)
-        self.write(table, rows.drop("batch_id", DATE_COLUMN.get(table, "")), manifest.next_id)
-        merged, _ = self.describe(table, manifest.next_id)
-        merged = replace(merged, origin=max(b.origin for b in run))
+            rows = latest_metrics(self.open(table, tuple(run))).drop("batch_id", DATE_COLUMN[table])
+        clustered = table in PARTIAL_OF
+        if clustered:
+            self.write_clustered(table, rows, batch_id, -(-sum(b.rows for b in run) // file_rows))
+            if manifest.state.get("partials"):
+                added = summed_partials(self.open("partials", tuple(run)))
+                parts = self.open("partials", tuple(run)).count()
+                self.write_clustered("partials", added, batch_id, -(-parts // file_rows))
+        else:
+            self.write(table, rows, batch_id)
+        merged, _ = self.describe(table, batch_id)
+        merged = replace(merged, origin=max(b.origin for b in run), clustered=clustered)
         side = SIDE_TABLE.get(log)
         if side and manifest.state.get(side):
             # An attempt that died under this id must not become live.
             nothing = empty(self.spark, TABLES[side]).drop("batch_id").write.mode("overwrite")
             nothing = nothing.partitionBy("rejected") if side == "staged" else nothing
-            nothing.parquet(self.path(side, manifest.next_id))
-        self.commit(log, manifest.extended(merged, dropped=tuple(run)))
-        return True
+            nothing.parquet(self.path(side, batch_id))
+        while True:
+            try:
+                self.commit(log, manifest.extended(merged, used=batch_id, dropped=tuple(run)))
+                return True
+            except Conflict:
+                manifest = self.manifest(log)
+                # Of the metrics the merged batch would have to come before newer ones.
+                if not set(run) <= set(manifest.batches) or table == "metrics":
+                    return False
 
     def expire(self, log: str, older_than: timedelta) -> list[str]:
         """Delete folders that no manifest names, once they are older than this.
@@ -305,9 +432,13 @@ class TelemetryStore:
         """
         manifest = self.manifest(log)
         gone = []
-        for folder, batch_id, age in self._folders(LOG_TABLE[log]):
-            if batch_id <= manifest.snapshot and batch_id not in {b.batch_id for b in manifest.batches}:
-                gone.append((folder, age))
+        live = {b.batch_id for b in manifest.batches}
+        table = LOG_TABLE[log]
+        beside = PARTIAL_OF.get(table)
+        for folders in (table, *([beside, f"zones_{table}", f"zones_{beside}"] if beside else [])):
+            for folder, batch_id, age in self._folders(folders):
+                if batch_id < manifest.next_id and batch_id not in live:
+                    gone.append((folder, age))
         if log == REFRESH_LOG:
             newest = manifest.state.get("control", 0)
             gone += [(f, age) for f, i, age in self._folders("control") if i < newest]
@@ -315,7 +446,7 @@ class TelemetryStore:
             gone += [
                 (f"{f}/rejected=false", age)
                 for f, i, age in self._folders("staged", "rejected=false")
-                if i <= manifest.snapshot
+                if i < manifest.next_id
             ]
         files = self._files()
         old = [folder for folder, age in gone if age >= older_than]

@@ -17,7 +17,15 @@ LAZY = [
     q
     for q in catalogue.CATALOGUE
     if not q.__name__.startswith("stream_")
-    and q.__name__ not in ("ingest_job", "ingest_text_buffer", "ingest_text_refused", "late_recompute", "period_view_store")
+    and q.__name__ not in (
+        "ingest_job",
+        "concurrent_ingest",
+        "ingest_text_buffer",
+        "ingest_text_refused",
+        "late_recompute",
+        "late_recompute_clustered",
+        "period_view_store",
+    )
 ]
 
 
