@@ -11,7 +11,7 @@ from fleetmetrics.operators import decode, fleet, ingest, latency, merge, partia
 from fleetmetrics.plans import fixtures, jobs
 from fleetmetrics.session import scratch_folder
 from fleetmetrics.sources.store import INGEST_LOG, TelemetryStore
-from fleetmetrics.streaming import streams
+from fleetmetrics.streaming import keyed, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -444,6 +444,20 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(store.metrics())
 
 
+def stream_refresh_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same windows from keyed state over the stream of readings."""
+    folder = scratch_folder(spark, "stream-keyed")
+    store = TelemetryStore.create(spark, f"{folder}/store")
+    as_of = fixtures.latest_reading(fixtures.cadence(spark, sf_dir))
+    readings = fixtures.as_raw(fixtures.cadence_buffer(_event_stream(spark, sf_dir)))
+    _finish(
+        keyed.stream_keyed_refresh(
+            readings, store, f"{folder}/checkpoint", lambda _: as_of, trigger=AVAILABLE_NOW
+        )
+    )
+    return _rounded(store.metrics())
+
+
 def stream_window_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two micro-batches in arrival order; late rows of the second are dropped."""
     folder = scratch_folder(spark, "stream-native")
@@ -515,6 +529,7 @@ CATALOGUE: tuple[Query, ...] = (
     stream_readings,
     stream_ingest,
     stream_refresh,
+    stream_refresh_keyed,
     stream_window_native,
 )
 

@@ -79,7 +79,7 @@ FILE_ROWS = 4_000_000
 
 @dataclass(frozen=True)
 class Batch:
-    """A live batch. ``origin`` is the newest load that went into it; a clustered one has zones."""
+    """A live batch. ``origin`` is the manifest that brought its newest load; a clustered one has zones."""
 
     batch_id: int
     origin: int
@@ -118,6 +118,9 @@ class Manifest:
     ) -> "Manifest":
         """The next manifest; ``used`` is the batch id that is committed with it."""
         kept = tuple(b for b in self.batches if b not in dropped)
+        if not dropped:
+            # Ids are claimed early; only the commit tells which load is newer.
+            added = tuple(replace(b, origin=self.snapshot + 1) for b in added)
         ids = self.ids if used is None else _with_id(self.ids, used)
         return Manifest(self.snapshot + 1, kept + added, {**self.state, "ids": ids, **state})
 
