@@ -7,15 +7,14 @@ under at least one choice of that many blocks. A bucket of such a key with more
 than BUCKET distinct fingerprints is not paired: its members meet instead at
 fingerprints half way between them, which is exact too and linear.
 
-One fingerprint misses many near copies: an edit of a few words moves several
-bits. `prints` greater than one takes as many fingerprints from independent
-mixes of the shingle hashes, and links texts that are close in any of them.
-
 Nulls and texts without words have fingerprint 0 and are linked like any other.
 Repeated rows and ties share their fingerprint and group. A null id takes no
-part in the choice of a group's smallest id.
+part in the choice of a group's smallest id. `keep_one` keeps one row of each
+group: that of the smallest id, a null id after all others, and of rows with
+one id any one.
 """
 
+from collections.abc import Sequence
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -35,22 +34,11 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 CHUNK = 1 << 16
 
 
-def mixed(hashes: np.ndarray, number: int) -> np.ndarray:
-    """The hashes themselves for number 0, else an independent mix of them."""
-    if not number:
-        return hashes
-    with np.errstate(over="ignore"):
-        h = hashes + np.uint64(number) * np.uint64(0x9E3779B97F4A7C15)
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return h ^ (h >> np.uint64(31))
-
-
-def fingerprint(text: bytes, words: int = WORDS, prints: int = 1) -> list[int]:
-    """Signed 64-bit SimHashes of the word shingles of a UTF-8 text."""
+def fingerprint(text: bytes, words: int = WORDS) -> int:
+    """Signed 64-bit SimHash of the word shingles of a UTF-8 text."""
     found = text.translate(LOWER).split()
     if not found:
-        return [0] * prints
+        return 0
     joined = b" ".join(found)
     after = list(accumulate(len(w) + 1 for w in found))
     width = min(words, len(found))
@@ -58,25 +46,22 @@ def fingerprint(text: bytes, words: int = WORDS, prints: int = 1) -> list[int]:
     ends = after[width - 1 :]
     digest = xxhash.xxh64_intdigest
     hashes = [digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends, strict=False)]
-    counts = np.zeros((prints, 64), dtype=np.int64)
+    counts = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), CHUNK):
-        part = np.array(hashes[at : at + CHUNK], dtype="<u8")
-        for k in range(prints):
-            octets = mixed(part, k).view(np.uint8).reshape(-1, 8)
-            counts[k] += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * counts > len(hashes), axis=1, bitorder="little")
-    return bits.view("<i8").ravel().tolist()
+        octets = np.array(hashes[at : at + CHUNK], dtype="<u8").view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
 
 
 def fingerprints(
-    docs: DataFrame, text: str = "text", words: int = WORDS, prints: int = 1, keep: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame, text: str = "text", words: int = WORDS, keep: Sequence[str] = ("doc_id",), into: str = "fp"
 ) -> DataFrame:
-    """`keep` and fps, the fingerprints as signed longs."""
+    """`keep` and the fingerprint as a signed long."""
 
     def made(column: pa.Array):
-        return ((fingerprint(b, words, prints),) for b in blobs(column))
+        return ((fingerprint(b, words),) for b in blobs(column))
 
-    return map_column(docs, text, [T.StructField("fps", T.ArrayType(T.LongType()))], made, keep)
+    return map_column(docs, text, [T.StructField(into, T.LongType())], made, keep)
 
 
 def signed(bits: int) -> int:
@@ -100,8 +85,7 @@ def _exploded(masks: list[int], operation) -> Column:
 
 
 def close_pairs(fps: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
-    """Links (print, a, b) of distinct fingerprints (print, fp) with one print number:
-    a path of links joins any two within `radius`.
+    """Links (a, b) of distinct fingerprints (fp): a path of links joins any two within `radius`.
 
     Pairs of small buckets are complete; in large ones each member is linked to
     the smallest that shares a midpoint with it.
@@ -110,10 +94,10 @@ def close_pairs(fps: DataFrame, radius: int = RADIUS, blocks: int | None = None)
         raise ValueError("the radius must be even: midpoints lie half way")
     masks = key_masks(radius, blocks or radius + 2)
     tables = F.array(*[F.lit(m) for m in masks])
-    keyed = fps.select("print", "fp", F.posexplode(tables).alias("part", "mask")).select(
-        "print", "part", F.col("mask").bitwiseAND(F.col("fp")).alias("key"), "fp"
+    keyed = fps.select("fp", F.posexplode(tables).alias("part", "mask")).select(
+        "part", F.col("mask").bitwiseAND(F.col("fp")).alias("key"), "fp"
     )
-    bucket = ["print", "part", "key"]
+    bucket = ["part", "key"]
     sizes = keyed.groupBy(*bucket).agg(F.count("*").alias("members")).filter("members > 1")
     small, large = sizes.filter(F.col("members") <= BUCKET), sizes.filter(F.col("members") > BUCKET)
     paired = keyed.join(small, bucket, "left_semi")
@@ -121,14 +105,14 @@ def close_pairs(fps: DataFrame, radius: int = RADIUS, blocks: int | None = None)
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
     direct = left.join(right, bucket).filter((F.col("a") < F.col("b")) & near)
 
-    crowded = keyed.join(large, bucket, "left_semi").select("print", "fp").distinct()
+    crowded = keyed.join(large, bucket, "left_semi").select("fp").distinct()
     midpoints = crowded.select(
-        "print", "fp", _exploded(flips(radius // 2), lambda m: m.bitwiseXOR(F.col("fp"))).alias("midpoint")
+        "fp", _exploded(flips(radius // 2), lambda m: m.bitwiseXOR(F.col("fp"))).alias("midpoint")
     )
     # At most one member for each flip meets at a midpoint.
-    met = midpoints.groupBy("print", "midpoint").agg(F.collect_set("fp").alias("fps")).filter("size(fps) > 1")
-    starred = met.select("print", F.array_min("fps").alias("a"), F.explode("fps").alias("b")).filter("a < b")
-    return direct.select("print", "a", "b").union(starred).distinct()
+    met = midpoints.groupBy("midpoint").agg(F.collect_set("fp").alias("fps")).filter("size(fps) > 1")
+    starred = met.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).filter("a < b")
+    return direct.select("a", "b").union(starred).distinct()
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -157,15 +141,9 @@ def components(pairs: DataFrame) -> DataFrame:
     return leaves.union(leaves.select(F.col("root").alias("node"), "root").distinct())
 
 
-def _links(distinct: DataFrame, radius: int, blocks: int | None) -> DataFrame:
-    """Links (a, b) of nodes that are close in one of their fingerprints."""
-    own = distinct.select("node", F.posexplode("fps").alias("print", "fp"))
-    heads = stored(own.groupBy("print", "fp").agg(F.min("node").alias("head")), "heads")
-    pairs = close_pairs(heads.select("print", "fp"), radius, blocks)
-    left, right = heads.toDF("print", "a", "head_a"), heads.toDF("print", "b", "head_b")
-    across = pairs.join(left, ["print", "a"]).join(right, ["print", "b"])
-    same = own.join(heads, ["print", "fp"]).select("node", "head")
-    return across.select(F.col("head_a").alias("a"), F.col("head_b").alias("b")).union(same)
+def groups(nodes: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
+    """(node, root) for each of the distinct fingerprints (node) that is linked to another."""
+    return components(close_pairs(nodes.select(F.col("node").alias("fp")), radius, blocks))
 
 
 def near_duplicates(
@@ -175,32 +153,39 @@ def near_duplicates(
     words: int = WORDS,
     radius: int = RADIUS,
     blocks: int | None = None,
-    prints: int = 1,
 ) -> DataFrame:
-    """doc_id, fps and component_id, the smallest id of the document's group; a row per document."""
+    """doc_id, fp and component_id, the smallest id of the document's group; a row per document."""
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    node = F.col("fps")[0] if prints == 1 else F.xxhash64("fps")
-    marked = stored(fingerprints(own, words=words, prints=prints).withColumn("node", node), "fingerprints")
-    distinct = marked.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("fps").alias("fps"))
-    if prints == 1:
-        links = close_pairs(distinct.select(F.lit(0).alias("print"), F.col("node").alias("fp")), radius, blocks)
-    else:
-        distinct = stored(distinct, "distinct")
-        links = _links(distinct, radius, blocks)
-    roots = components(links)
-    firsts = distinct.select("node", "first")
-    grouped = roots.join(firsts, "node")
+    marked = stored(fingerprints(own, words=words), "fingerprints")
+    distinct = marked.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("first"))
+    roots = groups(distinct, radius, blocks)
+    grouped = roots.join(distinct, "node")
     least = grouped.groupBy("root").agg(F.min("first").alias("least"))
-    labels = firsts.join(grouped.join(least, "root").select("node", "least"), "node", "left")
+    labels = distinct.join(grouped.join(least, "root").select("node", "least"), "node", "left")
     # Stored, so that both sides of the last join are dealt anew and a frequent
     # fingerprint's rows can be split.
-    labels = stored(labels.select("node", F.coalesce("least", "first").alias("component_id")), "labels")
-    return marked.join(labels, "node").select("doc_id", "fps", "component_id")
+    labels = stored(labels.select(F.col("node").alias("fp"), F.coalesce("least", "first").alias("component_id")), "labels")
+    return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The documents without all but the smallest id of each group; null ids stay."""
-    found = near_duplicates(docs, doc_id=doc_id, **options)
-    name = free_name(docs, "__gone")
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col(f"`{doc_id}`") == F.col(name), "left_anti")
+def keep_one(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = WORDS,
+    radius: int = RADIUS,
+    blocks: int | None = None,
+) -> DataFrame:
+    """One row of each group, with the columns of the documents."""
+    row, fp = free_name(docs, "__row"), free_name(docs, "__fp")
+    # Rows are numbered by being stored.
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    marked = stored(fingerprints(numbered, text, words, numbered.columns, fp), "marked")
+    own = F.col(f"`{doc_id}`")
+    order = F.struct(own.isNull().alias("none"), own.alias("id"), F.col(row).alias("row"))
+    first = marked.groupBy(F.col(fp).alias("node")).agg(F.min(order).alias("first"))
+    first = stored(first, "first")
+    led = first.join(groups(first, radius, blocks), "node", "left")
+    kept = led.groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("first").alias("first"))
+    kept = stored(kept.select(F.col("first.row").alias(row)), "kept")
+    return marked.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -51,7 +51,7 @@ def expected(rows):
 
 def found(frame):
     rows = simhash.near_duplicates(frame).collect()
-    return sorted([(r.doc_id, f"{r.fps[0] & (2**64 - 1):016x}", r.component_id) for r in rows], key=repr)
+    return sorted([(r.doc_id, f"{r.fp & (2**64 - 1):016x}", r.component_id) for r in rows], key=repr)
 
 
 def test_awkward_rows(spark):
@@ -80,11 +80,11 @@ def test_links_join_exactly_what_pairs_join(spark, monkeypatch, radius, bucket):
             flipped ^= 1 << chance.randrange(64)
         prints.append(flipped)
     prints = sorted(set(prints))
-    nodes = [(0, simhash.signed(p)) for p in prints]
-    pairs = simhash.close_pairs(spark.createDataFrame(nodes, "print int, fp long"), radius)
+    nodes = [(simhash.signed(p),) for p in prints]
+    pairs = simhash.close_pairs(spark.createDataFrame(nodes, "fp long"), radius)
     roots = {r.node: r.root for r in simhash.components(pairs).collect()}
     got, want = {}, {}
-    for (_, node), root in zip(nodes, model_groups(prints, radius), strict=True):
+    for (node,), root in zip(nodes, model_groups(prints, radius), strict=True):
         got.setdefault(roots.get(node, node), set()).add(node)
         want.setdefault(root, set()).add(node)
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
@@ -99,23 +99,24 @@ def test_components_of_chains_and_hubs(spark):
     assert roots == {i: 0 for i in range(41)} | {i: 99 for i in range(99, 160)}
 
 
-def test_several_prints_link_what_any_of_them_links(spark):
-    base = cases.prose(9, 400)
-    rows = [(i, cases.near_copy(base, i, 3)) for i in range(12)] + [(50, cases.prose(10, 400))]
-    kept = {r.doc_id for r in simhash.keep_one(cases.with_clashes(cases.frame(spark, rows)), prints=8).collect()}
-    assert kept == {0, 50}
-
-
-def test_keep_one_leaves_null_ids(spark):
-    rows = cases.awkward_texts()
-    kept = simhash.keep_one(cases.with_clashes(cases.frame(spark, rows)))
-    ids = sorted(((r.doc_id is None, r.doc_id or 0) for r in kept.collect()))
-    components = {e[2] for e in expected(rows) if e[0] is not None}
-    assert {i for none, i in ids if not none} == components
-    assert sum(none for none, _ in ids) == 2
-    assert kept.columns == cases.with_clashes(cases.frame(spark, rows)).columns
+def test_keep_one_keeps_a_row_of_each_group(spark):
+    """Repeated ids, null ids, ties and repeated rows: one row each, of the smallest id."""
+    other = cases.prose(999, 80)
+    rows = [*cases.awkward_texts(), (5, other), (9, cases.awkward_texts()[0][1]), (9, other), (None, other)]
+    docs = cases.with_clashes(cases.frame(spark, rows))
+    kept = simhash.keep_one(docs).collect()
+    roots = model_groups([model_print(t) for _, t in rows], 2)
+    least = {}
+    for (doc, _), root in zip(rows, roots, strict=True):
+        least.setdefault(root, []).append((doc is None, doc))
+    assert sorted(((r.doc_id is None, r.doc_id) for r in kept), key=repr) == sorted((min(v, key=lambda p: (p[0], p[1] or 0)) for v in least.values()), key=repr)
+    assert all((r.doc_id, r.text) in rows for r in kept)
+    assert simhash.keep_one(docs).columns == docs.columns
+    renamed = cases.frame(spark, rows).withColumnRenamed("doc_id", "id")
+    assert simhash.keep_one(renamed, doc_id="id").count() == len(least)
+    assert simhash.keep_one(docs.limit(0)).collect() == []
 
 
 def test_odd_radius_is_refused(spark):
     with pytest.raises(ValueError):
-        simhash.close_pairs(spark.createDataFrame([], "print int, fp long"), radius=3)
+        simhash.close_pairs(spark.createDataFrame([], "fp long"), radius=3)
