@@ -13,15 +13,15 @@ separately. Token ids depend on the text only, so documents keep their pieces
 when a task is repeated; sequence ids are unique, not consecutive.
 """
 
-import unicodedata
-import zlib
+import json
+import re
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
@@ -34,7 +34,6 @@ BLOCK = 1 << 18
 CACHE = 1 << 19
 GROUP = 64
 LONGS = ("start", "length", "ids_crc32", "doc_tokens")
-PIECE = T.StructType([*[T.StructField(n, T.LongType()) for n in LONGS], T.StructField("ids", T.BinaryType())])
 
 
 class WordTokens:
@@ -44,18 +43,23 @@ class WordTokens:
     digits and runs of other signs, and never joins what it has cut. A text's
     ids are therefore those of its parts between spaces and line ends, and a
     part's ids those of its words. Both are looked up; only new words are
-    encoded. A part that composing or lower-casing could change beyond single
-    characters, or that may hold a special token, is encoded as it is.
+    encoded. A part with signs outside PLAIN, which another Unicode table might
+    class, compose or lower-case otherwise, or that may hold a special token, is
+    encoded as it is. A tokenizer of another kind is refused.
     """
 
-    # How the tokenizer cuts text in lower case, and the mark that
+    # How the tokenizer normalises and cuts text, and the mark that
     # its last token of a word carries.
-    CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+    NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+    WORD = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
     LAST = "</w>"
-    # Letters that lower-casing treats by their place or makes two of.
-    SPECIAL = frozenset("\u03a3\u0130")
+    CUT = regex.compile(WORD)
+    # Signs that all Unicode tables agree on: ASCII, composed Latin letters that
+    # lower-case to one letter, basic Cyrillic, dashes and quotation marks.
+    PLAIN = re.compile("[\x00-\x7f\u00c0-\u012f\u0131-\u024f\u0410-\u044f\u2010-\u201f]*")
 
     def __init__(self, path: str):
+        self.check(path)
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -63,14 +67,22 @@ class WordTokens:
         self.parts: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {}
 
+    def check(self, path: str) -> None:
+        with open(path, encoding="utf-8") as file:
+            found = json.load(file)
+        steps = (found.get("normalizer") or {}).get("normalizers")
+        split = ((found.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        words = split.get("pattern") == {"Regex": self.WORD} and split.get("behavior") == "Removed" and split.get("invert")
+        marked = found["model"].get("end_of_word_suffix") == self.LAST
+        special = all("<|" in t["content"] and not t["lstrip"] and not t["rstrip"] for t in found.get("added_tokens", []))
+        if steps != self.NORMALIZER or not words or not marked or not special:
+            raise ValueError(f"{path}: not a tokenizer of words with marked ends")
+
     def cut(self, part: str) -> list[str] | None:
         """The words of a part, or None if it has to be encoded as it is."""
-        if part.isascii():
-            if part.isalpha():
-                return [part.lower()]
-        elif not unicodedata.is_normalized("NFC", part) or not self.SPECIAL.isdisjoint(part):
+        if not part.isascii() and not self.PLAIN.fullmatch(part):
             return None
-        elif part.isalpha():
+        if part.isalpha():
             return [part.lower()]
         return self.CUT.findall(part.lower()) if "<|" not in part else None
 
@@ -119,30 +131,31 @@ def encoder(path: str) -> WordTokens:
     return held(("packing", path), lambda: WordTokens(path))
 
 
-def pieces(ids: bytes, window: int) -> list[dict]:
-    """The end id added, and the document cut into full windows and a tail."""
-    whole = ids + np.uint32(END).tobytes()
-    total = len(whole) // 4
-    cut = [whole[a : a + 4 * window] for a in range(0, len(whole), 4 * window)]
-    return [
-        {"start": i * window, "length": len(c) // 4, "ids_crc32": zlib.crc32(c), "doc_tokens": total, "ids": c}
-        for i, c in enumerate(cut)
-    ]
-
-
 def tokenized(
     docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, with_ids: bool = True
 ) -> DataFrame:
-    """A row per piece: doc_id, start, length, ids_crc32, doc_tokens and, if asked for, ids."""
+    """A row per piece: doc_id, start, length, ids_crc32, doc_tokens and, if asked for, ids.
+
+    Python gives each document's ids, the end id added, as one value; full windows
+    and the tail are cut from it here.
+    """
+    end = np.uint32(END).tobytes()
+
+    def made(column: pa.Array) -> Iterator[tuple[bytes]]:
+        return ((ids + end,) for ids in encoder(tokenizer).encode(texts(column)))
+
+    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    whole = map_column(own, "text", [T.StructField("all", T.BinaryType())], made, ["doc_id"])
+    tokens = (F.octet_length("all") / 4).cast("long")
+    starts = F.sequence(F.lit(0).cast("long"), tokens - 1, F.lit(window).cast("long"))
 
-    def made(column: pa.Array) -> Iterator[tuple[list[dict]]]:
-        for ids in encoder(tokenizer).encode(texts(column)):
-            cut = pieces(ids, window)
-            yield (cut if with_ids else [p | {"ids": None} for p in cut],)
+    def piece(start: Column) -> Column:
+        cut = F.substring(F.col("all"), (4 * start + 1).cast("int"), F.lit(4 * window))
+        return F.struct(start.alias("start"), cut.alias("ids"))
 
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    cut = map_column(own, "text", [T.StructField("pieces", T.ArrayType(PIECE))], made, ["doc_id"])
-    found = cut.select("doc_id", F.explode("pieces").alias("p")).select("doc_id", "p.*")
+    cut = whole.select("doc_id", tokens.alias("doc_tokens"), F.explode(F.transform(starts, piece)).alias("p"))
+    length = (F.octet_length("p.ids") / 4).cast("long").alias("length")
+    found = cut.select("doc_id", "p.start", length, F.crc32("p.ids").alias("ids_crc32"), "doc_tokens", "p.ids")
     return found if with_ids else found.drop("ids")
 
 
@@ -224,9 +237,10 @@ def _packed(frames: Iterator[pd.DataFrame], window: int, block: int) -> Iterator
 def pack(cut: DataFrame, window: int = WINDOW, partitions: int | None = None, block: int = BLOCK) -> DataFrame:
     """doc_id, LONGS, piece (if there), sequence_id and offset of the pieces. `cut` should
     be a stored table: it is read twice."""
-    n = partitions or shuffle_partitions(cut.sparkSession)
     narrow = cut.select("doc_id", *LONGS, *[c for c in cut.columns if c == "piece"])
     tails = narrow.filter(F.col("length") < window)
+    # No task gathers more than about a block of tails.
+    n = partitions or max(shuffle_partitions(cut.sparkSession), -(-tails.count() // block))
     dealt = tails.repartition(n, F.xxhash64("doc_id", "start", "ids_crc32"))
     dealt = dealt.sortWithinPartitions(F.xxhash64("ids_crc32", "doc_id"), "doc_id", "start", "length")
     dealt = dealt.withColumn("part", F.spark_partition_id().cast("long"))

@@ -56,6 +56,25 @@ def test_words_apart_encode_as_the_whole(spark):
     assert got == [whole_ids(t)[:-1] for t in texts]
 
 
+def test_any_signs_encode_as_the_whole():
+    """Ten thousand texts of signs from all of Unicode, assigned or not, with spaces and special tokens."""
+    chance = random.Random(11)
+    ranges = [(32, 127), (0, 0x250), (0x370, 0x600), (0x300, 0x370), (0x1E00, 0x2100), (0x2000, 0x2070), (0, 0xD800), (0xE000, 0x110000)]
+    made = []
+    for _ in range(10_000):
+        low, high = chance.choice(ranges)
+        text = "".join(chr(chance.randrange(low, high)) for _ in range(12))
+        made.append(" ".join([text[:7], text[7:], *chance.choices(["<|endoftext|>", "it's", "Éa1", ""], k=chance.randint(0, 2))]))
+    got = [np.frombuffer(b, "<u4").tolist() for b in packing.WordTokens(PATH).encode(made)]
+    whole = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(made, add_special_tokens=False)]
+    assert sum(a != b for a, b in zip(got, whole, strict=True)) == 0
+
+
+def test_another_tokenizer_is_refused():
+    with pytest.raises(ValueError, match="not a tokenizer of words"):
+        packing.WordTokens(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def test_a_full_cache_changes_nothing(monkeypatch):
     monkeypatch.setattr(packing, "CACHE", 50)
     texts = [cases.prose(i, 60) for i in range(10)]
