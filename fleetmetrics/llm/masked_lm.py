@@ -9,7 +9,8 @@ Tokens are words with A-Z in lower case. The vocabulary is the most frequent
 words of all documents; other words share RARE tokens by a hash of their end, and
 the probability of such a word is its token's times its own share of the token's
 occurrences in the corpus. The counts behind these shares are a table of all
-words, which grows with the corpus and is joined by word.
+words, which grows with the corpus. Workers hold the shares of its HELD most
+frequent words; the others are joined by word.
 Training reads every document once, in ROUNDS parts chosen by a hash of the
 text: in a round each task descends from the common weights over its own
 documents, and the tasks' results are averaged by their numbers of tokens,
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.common import blobs, free_name, map_batches, map_column, stored
+from fleetmetrics.llm.common import SLICE, blobs, map_batches, map_column, stored
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 OFFSETS = (-2, -1, 1, 2)
@@ -47,6 +48,7 @@ BATCH = 8192
 RATE = 0.1
 SEED = 11
 PIECES = 16
+HELD = 1 << 17
 FAN_IN = 256
 
 Weights = dict[str, np.ndarray]
@@ -297,31 +299,65 @@ def scored(
     return map_column(docs, text, SCORES, made, keep)
 
 
-RARE_WORDS = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.IntegerType())]))
+class Shares(dict):
+    """Logarithms of the shares of frequent words; None for others."""
 
+    def __missing__(self, word: bytes) -> None:
+        return None
 
-def pseudo_likelihood(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
+
+def shares_held(total: DataFrame, shares: DataFrame, words: Sequence[bytes], most: int) -> Shares:
+    """The shares of the most frequent words, 0 for those of the network's own tokens."""
+    frequent = most_frequent(total, len(words) + most)[len(words) :]
+    chosen = total.sparkSession.createDataFrame([(bytearray(w),) for w in frequent], "word binary")
+    rows = shares.join(F.broadcast(chosen), "word").collect()
+    return Shares({bytes(r.word): r.share for r in rows} | {w: 0.0 for w in words})
+
+
+def _marked(docs: DataFrame, words: Sequence[bytes], weights: Weights, shares: Shares) -> DataFrame:
+    """row, kept, n_tokens, log_likelihood with the shares held, and the other words."""
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType()), T.StructField("others", T.ArrayType(T.BinaryType()))]
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Vocabulary(words)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                texts = blobs(part.column(0))
+                tokens, around, sizes = windows(known, texts)
+                sums = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, tokens, around))])
+                ends = np.cumsum(sizes)
+                totals = sums[ends] - sums[ends - sizes]
+                others: list[bytes] = []
+                bounds = [0]
+                for row, text in enumerate(texts):
+                    own = text.translate(LOWER).split()
+                    found = [shares[w] for w in own]
+                    totals[row] += sum(f for f in found if f is not None)
+                    others += [w for w, f in zip(own, found, strict=True) if f is None]
+                    bounds.append(len(others))
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(others, pa.binary()))
+                columns = [*part.columns[1:], pa.array(sizes), pa.array(totals), lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "kept", "n_tokens", "log_likelihood", "others"])
+
+    schema = T.StructType([*docs.select("row", "kept").schema.fields, *fields])
+    return map_batches(docs.select("text", "row", "kept"), made, schema)
+
+
+def pseudo_likelihood(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text", held: int = HELD) -> DataFrame:
     """Scores of all documents, each word as itself, under a network trained on all of them."""
     total = word_counts(docs, text)
     words = most_frequent(total)
-    frequent = frozenset(words)
-
-    def rare(column: pa.Array) -> Iterator[tuple]:
-        for blob in blobs(column):
-            counts = Counter(blob.translate(LOWER).split())
-            yield ([{"word": w, "n": n} for w, n in counts.items() if w not in frequent],)
-
-    row = free_name(docs, "__row")
-    # Rows are numbered by being stored.
-    own = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"))
-    numbered = stored(own.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    marked = scored(numbered, words, train(docs, words, text), [row, "kept"], "text")
-    held = map_column(numbered, "text", [T.StructField("rare", RARE_WORDS)], rare, [row])
-    held = held.select(row, F.explode("rare").alias("r")).select(row, "r.word", "r.n")
     shares = stored(rare_shares(total, words), "shares")
-    added = held.join(shares, "word").groupBy(row).agg(F.sum(F.col("n") * F.col("share")).alias("added"))
+    own = docs.select(F.col(f"`{text}`").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"))
+    numbered = own.withColumn("row", F.monotonically_increasing_id())
+    weights = train(docs, words, text)
+    # Stored: its rows are used twice and keep their numbers.
+    marked = stored(_marked(numbered, words, weights, shares_held(total, shares, words, held)), "marked")
+    others = marked.select("row", F.explode("others").alias("word")).groupBy("row", "word").agg(F.count("*").alias("n"))
+    added = others.join(shares, "word").groupBy("row").agg(F.sum(F.col("n") * F.col("share")).alias("added"))
     likelihood = F.col("log_likelihood") + F.coalesce("added", F.lit(0.0))
     mean = F.when(F.col("n_tokens") > 0, likelihood / F.col("n_tokens"))
-    return marked.join(added, row, "left").select(
+    return marked.drop("others").join(added, "row", "left").select(
         "kept.*", "n_tokens", likelihood.alias("log_likelihood"), mean.alias("mean_log_likelihood")
     )
