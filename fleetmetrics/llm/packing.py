@@ -32,7 +32,7 @@ WINDOW = 2048
 END = 1
 BLOCK = 1 << 18
 CACHE = 1 << 19
-GROUP = 64
+GROUP = 128
 LONGS = ("start", "length", "ids_crc32", "doc_tokens")
 
 
@@ -87,12 +87,13 @@ class WordTokens:
         return self.CUT.findall(part.lower()) if "<|" not in part else None
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        # Without offsets, which nobody asks for.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def learn_words(self, new: list[str]) -> None:
-        """A thousand words in one text: their ids end at the tokens that end words."""
-        for at in range(0, len(new), 1000):
-            some = new[at : at + 1000]
+        """Many words in one text: their ids end at the tokens that end words."""
+        for at in range(0, len(new), 200):
+            some = new[at : at + 200]
             ids = self.ids(" ".join(some))
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             raw = ids.tobytes()
@@ -103,27 +104,45 @@ class WordTokens:
                 self.words |= {w: self.ids(w).tobytes() for w in some}
 
     def learn(self, parts: set[str]) -> None:
+        """Ids of parts that are not known."""
         if len(self.parts) + len(parts) > CACHE:
             self.parts = {"": b""}
         if len(self.words) > CACHE:
             self.words = {}
-        known, words = self.parts, self.words
-        cut = {p: self.cut(p) for p in parts if p not in known}
-        self.learn_words(list({w for found in cut.values() for w in found or () if w not in words}))
-        for part, found in cut.items():
+        known, words, new = self.parts, self.words, set()
+        single: list[tuple[str, str]] = []
+        several: list[tuple[str, list[str]]] = []
+        for part in parts:
+            if part.isascii() and part.isalpha():
+                word = part.lower()
+                single.append((part, word))
+                if word not in words:
+                    new.add(word)
+                continue
+            found = self.cut(part)
             if found is None:
                 known[part] = self.ids(part).tobytes()
-            elif len(found) == 1:
-                known[part] = words[found[0]]
             else:
-                known[part] = b"".join([words[w] for w in found])
+                several.append((part, found))
+                new.update([w for w in found if w not in words])
+        self.learn_words(list(new))
+        for part, word in single:
+            known[part] = words[word]
+        for part, found in several:
+            known[part] = words[found[0]] if len(found) == 1 else b"".join([words[w] for w in found])
 
     def encode(self, batch: Sequence[str]) -> Iterator[bytes]:
         for at in range(0, len(batch), GROUP):
             split = [t.replace("\n", " ").split(" ") for t in batch[at : at + GROUP]]
-            self.learn({p for parts in split for p in parts})
-            for parts in split:
-                yield b"".join([self.parts[p] for p in parts])
+            get = self.parts.get
+            found = [list(map(get, parts)) for parts in split]
+            lacking = [i for i, ids in enumerate(found) if None in ids]
+            self.learn({p for i in lacking for p, ids in zip(split[i], found[i], strict=True) if ids is None})
+            get = self.parts.get
+            for i in lacking:
+                # A part known before may have been let go to make room.
+                found[i] = [ids if ids is not None else get(p) for p, ids in zip(split[i], found[i], strict=True)]
+            yield from map(b"".join, found)
 
 
 def encoder(path: str) -> WordTokens:
