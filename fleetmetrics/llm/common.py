@@ -1,9 +1,6 @@
 """What the operators share: tables, written intermediates, Arrow row mapping."""
 
-import shutil
-import tempfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from fleetmetrics.session import scratch_folder
+from fleetmetrics.session import scratch_folder, ship
 
 SLICE = 128
 SPACE = r"[\x20\x09-\x0D]+"
@@ -24,9 +21,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read again: computed once,
     and no longer dependent on executors that may be lost."""
-    folder = scratch_folder(frame.sparkSession, label)
+    spark = frame.sparkSession
+    folder = scratch_folder(spark, label)
     frame.write.parquet(folder)
-    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+    # What was shuffled for it is not needed again; Spark deletes it once collected.
+    spark._jvm.System.gc()
+    made = spark.read.schema(frame.schema).parquet(folder)
+    made._stored_in = folder
+    return made
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes written intermediates that no later step reads."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(frame._stored_in)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -54,24 +64,6 @@ def texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
-#: By application, the folder of the archive that its executors fetch; gone when Python ends.
-_shipped: dict[str, tempfile.TemporaryDirectory] = {}
-
-
-def ship(spark: SparkSession) -> None:
-    """Gives the workers this package, once for each application."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    own = tempfile.TemporaryDirectory()
-    package = Path(__file__).resolve().parents[1]
-    ignore = shutil.ignore_patterns("__pycache__")
-    shutil.copytree(package, f"{own.name}/root/{package.name}", ignore=ignore)
-    archive = shutil.make_archive(f"{own.name}/{package.name}-{context.applicationId}", "zip", f"{own.name}/root")
-    context.addPyFile(archive)
-    _shipped[context.applicationId] = own
-
-
 #: The one costly object that a worker holds: workers live longer than stages, and
 #: what an earlier stage has cached must not stand beside what the next one caches.
 _held: dict[tuple, object] = {}

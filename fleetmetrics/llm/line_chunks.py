@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.common import SLICE, blobs, free_name, map_batches, stored
+from fleetmetrics.llm.common import SLICE, blobs, free_name, map_batches, release, stored
 
 LONG = 50
 LEAST = 20
@@ -226,7 +226,10 @@ def repeated_stretches(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     )
     many = stored(seen.filter("one <> other OR a <> b").select("digest"), "many")
     wanted = places.join(many.hint("merge"), "digest", "left_semi").groupBy("key").agg(F.collect_set("first").alias("firsts"))
-    seeds = stored(_seeds(rows, stored(wanted, "wanted")), "seeds")
+    wanted = stored(wanted, "wanted")
+    release(places, many)
+    seeds = stored(_seeds(rows, wanted), "seeds")
+    release(wanted)
     # Rows equal in id and text have given equal seeds.
     distinct = seeds.select("key", "first", "body", "at", "past", "line").dropDuplicates(["key", "first"])
 
@@ -262,6 +265,7 @@ def repeated_stretches(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         "first",
     )
     own = stored(own, "own")
+    release(heads)
     other = distinct.select(
         F.col("key").alias("head_key"), F.col("first").alias("head_first"), F.col("body").alias("head_body"), F.col("at").alias("head_at"), F.col("past").alias("head_past")
     )
@@ -271,7 +275,10 @@ def repeated_stretches(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     equal = own.join(other.hint("merge"), ["head_key", "head_first"]).filter(same)
     # A stretch to the left ends with the anchor, whose end the stretch to the right tells.
     anchors = equal.groupBy("key", "first").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    return anchors.filter("high IS NOT NULL").select("key", F.col("low").alias("first"), F.col("high").alias("past"))
+    found = anchors.filter("high IS NOT NULL").select("key", F.col("low").alias("first"), F.col("high").alias("past"))
+    found = stored(found, "stretches")
+    release(seeds, own)
+    return found
 
 
 def dedup_lines(
