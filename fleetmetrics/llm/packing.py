@@ -16,6 +16,7 @@ when a task is repeated; sequence ids are unique, not consecutive.
 import json
 import re
 from collections.abc import Iterable, Iterator, Sequence
+from struct import pack as pack_ids
 
 import numpy as np
 import pandas as pd
@@ -90,8 +91,16 @@ class WordTokens:
         # Without offsets, which nobody asks for.
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def learn_words(self, new: list[str]) -> None:
-        """Many words in one text: their ids end at the tokens that end words."""
+    def learn_words(self, words: Iterable[str]) -> None:
+        """Printable ASCII words are what the tokenizer hands to its model. Of others many
+        are put in one text: their ids end at the tokens that end words."""
+        tokenize, new = self.tokenizer.model.tokenize, []
+        for word in words:
+            if word.isascii() and word.isprintable():
+                ids = [token.id for token in tokenize(word)]
+                self.words[word] = pack_ids(f"<{len(ids)}I", *ids)
+            else:
+                new.append(word)
         for at in range(0, len(new), 200):
             some = new[at : at + 200]
             ids = self.ids(" ".join(some))
@@ -103,10 +112,11 @@ class WordTokens:
             else:
                 self.words |= {w: self.ids(w).tobytes() for w in some}
 
-    def learn(self, parts: set[str]) -> None:
-        """Ids of parts that are not known."""
+    def learn(self, wanted: set[str]) -> None:
+        """Ids of those parts that are not known; afterwards all of them are."""
+        parts = wanted.difference(self.parts)
         if len(self.parts) + len(parts) > CACHE:
-            self.parts = {"": b""}
+            self.parts, parts = {"": b""}, wanted
         if len(self.words) > CACHE:
             self.words = {}
         known, words, new = self.parts, self.words, set()
@@ -125,7 +135,7 @@ class WordTokens:
             else:
                 several.append((part, found))
                 new.update([w for w in found if w not in words])
-        self.learn_words(list(new))
+        self.learn_words(new)
         for part, word in single:
             known[part] = words[word]
         for part, found in several:
@@ -134,15 +144,9 @@ class WordTokens:
     def encode(self, batch: Sequence[str]) -> Iterator[bytes]:
         for at in range(0, len(batch), GROUP):
             split = [t.replace("\n", " ").split(" ") for t in batch[at : at + GROUP]]
-            get = self.parts.get
-            found = [list(map(get, parts)) for parts in split]
-            lacking = [i for i, ids in enumerate(found) if None in ids]
-            self.learn({p for i in lacking for p, ids in zip(split[i], found[i], strict=True) if ids is None})
-            get = self.parts.get
-            for i in lacking:
-                # A part known before may have been let go to make room.
-                found[i] = [ids if ids is not None else get(p) for p, ids in zip(split[i], found[i], strict=True)]
-            yield from map(b"".join, found)
+            self.learn(set().union(*split))
+            known = self.parts.__getitem__
+            yield from [b"".join(map(known, parts)) for parts in split]
 
 
 def encoder(path: str) -> WordTokens:
