@@ -470,6 +470,7 @@ def oracle_sql() -> dict[str, str]:
         "ingestion_latency": _query(_delay("cadence", "dtInsert", "dtLoad", "Readings")),
         "processing_delay": _query(_delay("done", "dtWindowEnd", "dtProcessing", "Windows"), DONE),
         "stream_readings": _query("SELECT * FROM numbered"),
+        "stream_message_log": _query("SELECT strMachineName, fA, fV, nTemperature, dtInsert FROM numbered"),
         "stream_ingest": _query(
             f"""SELECT nId AS nSourceId, strMachineName, fA AS fCurrent, fV AS fVoltage,
                   CAST(round(nTemperature) AS INTEGER) AS nTemperature, dtInsert, {NOW} AS dtLoad

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from fleetmetrics.functions.values import rounded_int
 from fleetmetrics.operators import decode, fleet, ingest, latency, merge, partials, windows
 from fleetmetrics.plans import fixtures, jobs
+from fleetmetrics.schemas import BUFFER
 from fleetmetrics.session import scratch_folder
+from fleetmetrics.sources.message_log import append_segment, log_stream
 from fleetmetrics.sources.store import INGEST_LOG, TelemetryStore
 from fleetmetrics.streaming import keyed, streams
 
@@ -415,6 +417,20 @@ def stream_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.buffer()
 
 
+def stream_message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages through a log of several partitions; the stream ends between its two
+    segments and goes on from its offsets. Ids are left out: a log orders its partitions only."""
+    folder = scratch_folder(spark, "stream-log")
+    store = TelemetryStore.create(spark, f"{folder}/store")
+    messages = fixtures.messages(spark, sf_dir)
+    first = F.col("nId") <= messages.count() // 2
+    for number, part in enumerate((first, ~first)):
+        append_segment(messages.filter(part), f"{folder}/log", number)
+        arrived = log_stream(spark, f"{folder}/log")
+        _finish(streams.stream_readings(arrived, store, f"{folder}/checkpoint", trigger=AVAILABLE_NOW))
+    return store.buffer().select(*BUFFER.fieldNames()[1:])
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "stream-ingest")
     store = TelemetryStore.create(spark, f"{folder}/store")
@@ -527,6 +543,7 @@ CATALOGUE: tuple[Query, ...] = (
     ingestion_latency,
     processing_delay,
     stream_readings,
+    stream_message_log,
     stream_ingest,
     stream_refresh,
     stream_refresh_keyed,
