@@ -214,6 +214,7 @@ SAME_RESULT = {
     "concurrent_ingest": "ingest_job",
     "recompute_partials": "recompute_windows",
     "late_recompute_clustered": "late_recompute",
+    "period_hierarchy": "period_rollup",
     "stream_refresh_keyed": "stream_refresh",
 }
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmetrics.functions.values import rounded_int
-from fleetmetrics.operators import decode, fleet, ingest, latency, merge, partials, windows
+from fleetmetrics.operators import decode, fleet, hierarchy, ingest, latency, merge, partials, windows
 from fleetmetrics.plans import fixtures, jobs
 from fleetmetrics.schemas import BUFFER
 from fleetmetrics.session import scratch_folder
@@ -328,6 +328,14 @@ def period_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fleet.period_rollup(fixtures.finished_metrics(raw), fixtures.latest_reading(raw))
 
 
+def period_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periods from stored nodes of 1 to 2,048 minutes, in place of all windows."""
+    raw = fixtures.native(spark, sf_dir)
+    folder = scratch_folder(spark, "nodes")
+    hierarchy.write_nodes(hierarchy.window_nodes(fixtures.finished_metrics(raw)), folder)
+    return hierarchy.period_totals(spark.read.parquet(folder), fixtures.latest_reading(raw))
+
+
 def machine_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fleet.machine_list(_view(spark, sf_dir))
 
@@ -528,6 +536,7 @@ CATALOGUE: tuple[Query, ...] = (
     metrics_last_period,
     period_view_store,
     period_rollup,
+    period_hierarchy,
     machine_list,
     machine_series,
     selected_machine,

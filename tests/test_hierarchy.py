@@ -1,0 +1,106 @@
+"""Nodes of 1, 2, 4 ... minutes against the windows themselves."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from fleetmetrics.operators import fleet, hierarchy
+from fleetmetrics.schemas import METRICS
+
+START = datetime(2024, 2, 28, 22, 0)
+
+
+def windows(spark, rows):
+    """(machine, minute, records, alert) as metrics."""
+    names = METRICS.fieldNames()
+    filled = []
+    for machine, minute, records, alert in rows:
+        start = None if minute is None else START + timedelta(minutes=minute)
+        known = {"strMachineName": machine, "dtWindowStart": start, "nRecords": records, "bTemperatureAlert": alert}
+        filled.append(tuple(known.get(n) for n in names))
+    return spark.createDataFrame(filled, METRICS)
+
+
+def some(seed, count=300, span=6000):
+    rng = random.Random(seed)
+    places = rng.sample([(m, t) for m in ("A", "B", "C") for t in range(0, span, 2)], count)
+    return [(m, t, rng.randint(1, 60), rng.random() < 0.2) for m, t in places]
+
+
+def totals(rows):
+    found = {}
+    for machine, _, records, alert in rows:
+        old = found.get(machine, (0, 0, 0))
+        found[machine] = (old[0] + 1, old[1] + records, old[2] + alert)
+    return found
+
+
+def test_stretches_hold_each_minute_once():
+    rng = random.Random(1)
+    for _ in range(300):
+        top = rng.choice([0, 1, 3, 11])
+        start = START + timedelta(seconds=rng.randrange(200_000))
+        stop = start + timedelta(seconds=rng.randrange(-100, 400_000))
+        parts = hierarchy.stretches(start, stop, top)
+        held = sorted(m for level, low, high in parts for n in range(low, high) for m in range(n << level, (n + 1) << level))
+        assert held == list(range(hierarchy._minute(start), hierarchy._minute(stop)))
+        assert len(parts) <= 2 * top + 1
+        open_end = hierarchy.stretches(start, None, top)
+        assert len(open_end) <= top + 1 and open_end[-1][2] is None
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return some(3)
+
+
+def test_ranges_equal_the_windows(spark, folder, rows):
+    hierarchy.write_nodes(hierarchy.window_nodes(windows(spark, rows)), f"{folder}/nodes")
+    nodes = spark.read.parquet(f"{folder}/nodes")
+    for low, high in ((0, 6000), (3, 3), (1, 2), (777, 5001), (100, None)):
+        stop = None if high is None else START + timedelta(minutes=high)
+        found = hierarchy.machine_totals(nodes, START + timedelta(minutes=low), stop).collect()
+        wanted = totals([r for r in rows if low <= r[1] and (high is None or r[1] < high)])
+        assert {r.strMachineName: (r.nWindows, r.nRecords, r.nAlerts) for r in found} == wanted
+
+
+def test_periods_read_few_nodes(spark, folder):
+    rows = [(m, t, 60, False) for m in ("A", "B") for t in range(0, 6000, 2)]
+    hierarchy.write_nodes(hierarchy.window_nodes(windows(spark, rows)), f"{folder}/nodes")
+    nodes = spark.read.parquet(f"{folder}/nodes")
+    now = START + timedelta(minutes=5999, seconds=30)
+    assert hierarchy.period_totals(nodes, now).collect() == fleet.period_rollup(windows(spark, rows), now).collect()
+    parts = hierarchy.stretches(now - timedelta(minutes=1440))
+    read = nodes.filter(hierarchy.within(parts))
+    assert read.count() <= 2 * (hierarchy.TOP + 2) < 2 * 720
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "nNode" in plan.split("PushedFilters")[1] and "PartitionFilters: [(" in plan
+
+
+def test_changes_take_back_what_was_counted(spark, rows):
+    rng = random.Random(5)
+    held = {(m, t): (m, t, n, a) for m, t, n, a in rows}
+    nodes = hierarchy.window_nodes(windows(spark, rows), top=4)
+    for _ in range(2):
+        keys = rng.sample(sorted(held), 20)
+        before = [held[k] for k in keys[:15]]
+        after = [(m, t, n + 1, False) for m, t, n, _ in before[:10]] + [("D", 7, 3, True)]
+        change = hierarchy.changed_nodes(windows(spark, before), windows(spark, after), top=4)
+        nodes = hierarchy.with_changes(nodes, change)
+        for k in keys[:15]:
+            del held[k]
+        before = held.pop(("D", 7), None)
+        held |= {(r[0], r[1]): r for r in after}
+        if before:
+            gone = hierarchy.changed_nodes(windows(spark, [before]), windows(spark, []), top=4)
+            nodes = hierarchy.with_changes(nodes, gone)
+    again = hierarchy.window_nodes(windows(spark, list(held.values())), top=4)
+    assert sorted(nodes.select(again.columns).collect()) == sorted(again.collect())
+
+
+def test_empty_and_incomplete_rows(spark):
+    nodes = hierarchy.window_nodes(windows(spark, [(None, 1, 1, True), ("A", None, 1, True), ("A", 2, None, None)]), top=0)
+    assert [tuple(r)[0:2] + tuple(r)[3:] for r in nodes.collect()] == [("A", 0, 1, 0, 0)]
+    none = windows(spark, [])
+    assert hierarchy.period_totals(hierarchy.window_nodes(none), START).collect() == fleet.period_rollup(none, START).collect()
