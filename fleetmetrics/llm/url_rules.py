@@ -8,8 +8,9 @@ URLs finds token combinations; those that imply the block label with at least
 fits a URL that holds all its tokens. A listed rule goes before a mined one.
 
 Everything is built-in functions and Spark's own FP-growth: no Python runs on
-the executors. A URL is judged once, however many rows have it; the join back
-to the rows is one Spark can split where a URL is very frequent.
+the executors. A URL is judged once, however many rows have it; what was found is
+written before the join back to the rows, so that both of its sides are shuffled
+and Spark can split the rows of a very frequent URL.
 
 Null URLs and those without '://' have an empty host and path and no tokens,
 and are allowed. Labels are by URL; where rows disagree one block is enough.
@@ -23,7 +24,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetmetrics.llm.common import free_name
+from fleetmetrics.llm.common import free_name, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)\??([^#]*)"
@@ -151,7 +152,8 @@ def judge(
     """`keep`, host, path, rule (listed, or null), mined (a mined rule, or null) and verdict; a row per page."""
     same, rule = free_name(pages, "__url"), free_name(pages, "__mined")
     address = F.col(f"`{url}`")
-    joined = pages.join(match(pages, mined, url).toDF(same, rule), address == F.col(same), "left")
+    found = stored(match(pages, mined, url).toDF(same, rule), "matched")
+    joined = pages.join(found, address == F.col(same), "left")
     fitting = listed_rule(address, listed)
     by_method = F.when(F.col(rule).isNotNull(), "block").otherwise("allow")
     return joined.select(

@@ -148,7 +148,9 @@ def write_warc(
     newest = rows.filter(F.octet_length("payload") >= least).groupBy("same").agg(
         F.max("page_id").alias("newest"), F.count("*").alias("copies")
     )
-    several = newest.filter("copies > 1").drop("copies")
+    # Written first, so that both sides of the join are shuffled and the rows of a
+    # very frequent payload can be split.
+    several = stored(newest.filter("copies > 1").drop("copies"), "several")
     joined = rows.join(several, "same", "left")
     refers = F.when(~F.col("newest").eqNullSafe(F.col("page_id")), F.col("newest"))
     joined = joined.select("page_id", "url", "payload", refers.alias("refers_to"))

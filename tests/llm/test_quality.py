@@ -79,3 +79,13 @@ def test_a_full_cache_changes_nothing(spark, tables, monkeypatch):
     want = list(quality.Scorer(model).scores(texts))
     monkeypatch.setattr(quality, "CACHE", 100)
     assert list(quality.Scorer(model).scores(texts)) == want
+
+
+def test_of_a_repeated_id_the_smallest_text_is_learned(spark, tables):
+    rows, docs, labels = tables
+    again = [(i, t + " ~~ later") for i, t in rows[:200]] + [(3, None)]
+    first = quality.train(docs, labels)
+    for mixed in (rows + again, again[::-1] + rows):
+        model = quality.train(cases.frame(spark, mixed).repartition(5), labels)
+        assert np.array_equal(model.effects, first.effects)
+        assert model.bias == first.bias
