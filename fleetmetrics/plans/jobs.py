@@ -1,14 +1,16 @@
 """The batch jobs: receive messages, ingest, refresh metrics."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmetrics.functions.clock import minutes, ntz
-from fleetmetrics.operators import partials
+from fleetmetrics.operators import intervals, partials
 from fleetmetrics.operators.decode import CONSTRAINT, classify_messages
 from fleetmetrics.operators.ingest import (
     assign_source_ids,
@@ -32,7 +34,7 @@ from fleetmetrics.operators.windows import (
     successful_machines,
     window_pending,
 )
-from fleetmetrics.schemas import BUFFER, CONTROL, RAW
+from fleetmetrics.schemas import BUFFER, CONTROL, RAW, RAW_KEY
 from fleetmetrics.session import empty
 from fleetmetrics.sources.commits import Conflict
 from fleetmetrics.sources.store import (
@@ -40,6 +42,7 @@ from fleetmetrics.sources.store import (
     READINGS_LOG,
     REFRESH_LOG,
     TIME_COLUMN,
+    Batch,
     Manifest,
     TelemetryStore,
 )
@@ -52,6 +55,8 @@ PUSHED_DAYS = 200
 # map, and files up to which they are opened by name.
 NARROW_WINDOWS = 1000
 NARROW_FILES = 4000
+# Ranges of ids that two loads may share up to which they are pushed into the scan.
+SHARED_RANGES = 200
 # Readings further ahead than this are left to the scan of their own date.
 NEAR_FUTURE = timedelta(days=1)
 
@@ -141,20 +146,49 @@ def _extent(rows: DataFrame):
     ).first()
 
 
+def _shared_ranges(store: TelemetryStore, overlapping: tuple[Batch, ...], rows: DataFrame, gap: int) -> list[tuple[int, int]]:
+    """Ranges of ids outside which no row can be in the given batches."""
+    known = tuple(b for b in overlapping if b.runs)
+    ranges = [(b.min_id, b.max_id) for b in overlapping if not b.runs]
+    if known:
+        stored = store.open("runs", known).select(*intervals.RUNS.fieldNames())
+        ranges += intervals.id_ranges(intervals.shared_runs(intervals.id_runs(rows, gap), stored), SHARED_RANGES)
+    ranges = intervals.joined_ranges(ranges)
+    return ranges if len(ranges) <= SHARED_RANGES else [(ranges[0][0], ranges[-1][1])]
+
+
+def _not_loaded(store: TelemetryStore, overlapping: tuple[Batch, ...], rows: DataFrame, gap: int) -> DataFrame:
+    """One row per key that the given batches do not hold.
+
+    Rows are compared in the shared ranges of ids only; the others are new. Without such a
+    range no batch is read.
+    """
+    ranges = _shared_ranges(store, overlapping, rows, gap)
+    if not ranges:
+        return rows.dropDuplicates(RAW_KEY)
+    inside = reduce(or_, [F.col("nSourceId").between(*r) for r in ranges])
+    reached = tuple(b for b in overlapping if any(b.min_id <= high and b.max_id >= low for low, high in ranges))
+    near = idempotent_append(store.open("raw", reached).filter(inside), rows.filter(inside))
+    return near.unionByName(rows.filter(~inside).dropDuplicates(RAW_KEY))
+
+
 def append_raw(
     store: TelemetryStore,
     manifest: Manifest,
     rows: DataFrame,
     extent=None,
     numbered: bool = False,
+    gap: int = intervals.GAP,
 ) -> int:
     """Insert rows not yet in the raw table; returns the inserted count.
 
     ``numbered`` says that the store itself gave the ids, so that no two rows
     share one; new ids then need no comparison and no shuffle.
 
-    Only raw batches that reach into the rows' id range are looked at. After an
-    incremental scan there are none, and the plan has no join. Rows that break
+    Only raw batches that reach into the rows' id range are looked at, and of those
+    the runs of ids first: rows are joined where a machine's runs meet. Gaps above
+    ``gap`` ids part two runs. After an incremental scan there are no such batches,
+    and the plan has no join. Rows that break
     a rule of the table go to the quarantine, and the cursor passes them. Several
     writers may append at once: whoever commits second compares its rows with
     those of the first.
@@ -178,13 +212,16 @@ def append_raw(
         overlapping = tuple(b for b in manifest.batches if b.max_id >= low and b.min_id <= high)
         known = set(seen.batches) if seen else set()
         if seen is None or any(b not in known for b in overlapping):
-            existing = store.open("raw", overlapping).filter(F.col("nSourceId").between(low, high))
-            fresh = idempotent_append(existing, rows) if overlapping or not numbered else rows
+            fresh = rows if numbered and not overlapping else _not_loaded(store, overlapping, rows, gap)
             store.write("raw", fresh.select(*RAW.fieldNames()), batch_id)
             inexact = F.count_if(partials.inexact()).alias("inexact")
             added, found = store.describe("raw", batch_id, inexact)
             if added:
                 store.write_partials(batch_id)
+            # The store's own ids never come twice, so their runs are not needed.
+            if added and not numbered:
+                store.write_runs(batch_id, gap)
+                added = replace(added, runs=True)
         if not added and not extent.refused:
             return 0
         state = {"cursor": max(high, manifest.state.get("cursor", 0))}

@@ -215,6 +215,7 @@ SAME_RESULT = {
     "recompute_partials": "recompute_windows",
     "late_recompute_clustered": "late_recompute",
     "period_hierarchy": "period_rollup",
+    "interval_append": "idempotent_append",
     "stream_refresh_keyed": "stream_refresh",
 }
 

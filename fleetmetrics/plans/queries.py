@@ -88,6 +88,19 @@ def idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.idempotent_append(loaded, raw.unionByName(raw))
 
 
+def interval_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that a load adds to two loads with gaps, whose ids it brings again, and twice."""
+    store = TelemetryStore.create(spark, scratch_folder(spark, "intervals"))
+    raw = fixtures.cadence(spark, sf_dir)
+    half = fixtures.half_way(raw)
+    turn = F.floor(F.col("nSourceId") / 1000) % 2
+    loads = [raw.filter((F.col("nSourceId") <= half) & (turn == t)) for t in (0, 1)]
+    for load in [*loads, raw.unionByName(raw)]:
+        jobs.append_raw(store, store.manifest(INGEST_LOG), load, gap=100)
+    newest = store.manifest(INGEST_LOG).batches[-1]
+    return store.open("raw", (newest,)).select(*raw.columns)
+
+
 def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two ingests of a growing buffer; the second finds only the newer half."""
     store = TelemetryStore.create(spark, scratch_folder(spark, "ingest"))
@@ -509,6 +522,7 @@ CATALOGUE: tuple[Query, ...] = (
     incremental_scan,
     temperature_rounding,
     idempotent_append,
+    interval_append,
     ingest_job,
     concurrent_ingest,
     ingest_text_buffer,

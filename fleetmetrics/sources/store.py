@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from fleetmetrics.functions import clustering
 from fleetmetrics.operators.fleet import last_period
+from fleetmetrics.operators.intervals import GAP, RUNS, id_runs, merged_runs
 from fleetmetrics.operators.merge import latest_metrics
 from fleetmetrics.operators.partials import PARTIALS, minute_partials, summed_partials
 from fleetmetrics.schemas import BUFFER, CONTROL, METRICS, QUARANTINE, RAW
@@ -50,6 +51,7 @@ TABLES = {
     "buffer": _with(BUFFER, _BATCH),
     "raw": _with(RAW, _BATCH, ("event_date", T.DateType())),
     "partials": _with(PARTIALS, _BATCH, ("event_date", T.DateType())),
+    "runs": _with(RUNS, _BATCH),
     "metrics": _with(METRICS, _BATCH, ("window_date", T.DateType())),
     "control": _with(CONTROL, _BATCH),
     "rejected": _with(QUARANTINE, _BATCH),
@@ -79,7 +81,10 @@ FILE_ROWS = 4_000_000
 
 @dataclass(frozen=True)
 class Batch:
-    """A live batch. ``origin`` is the manifest that brought its newest load; a clustered one has zones."""
+    """A live batch. ``origin`` is the manifest that brought its newest load; a clustered one has zones.
+
+    ``runs`` says that the runs of its ids are stored.
+    """
 
     batch_id: int
     origin: int
@@ -89,6 +94,7 @@ class Batch:
     first_date: str | None = None
     last_date: str | None = None
     clustered: bool = False
+    runs: bool = False
 
 
 @dataclass(frozen=True)
@@ -301,6 +307,10 @@ class TelemetryStore:
         readings = self.written("raw", batch_id).select(*RAW.fieldNames())
         self.write("partials", minute_partials(readings), batch_id)
 
+    def write_runs(self, batch_id: int, gap: int = GAP) -> None:
+        """The runs of ids of a written batch of readings."""
+        self.write("runs", id_runs(self.written("raw", batch_id), gap), batch_id)
+
     def write_clustered(self, table: str, rows: DataFrame, batch_id: int, files: int) -> None:
         """Write one batch in about ``files`` files along a curve through machine and time
         of each day, and its zone map."""
@@ -407,8 +417,11 @@ class TelemetryStore:
                 self.write_clustered("partials", added, batch_id, -(-parts // file_rows))
         else:
             self.write(table, rows, batch_id)
+        known = all(b.runs for b in run)
+        if known:
+            self.write("runs", merged_runs(self.open("runs", tuple(run)).drop("batch_id")), batch_id)
         merged, _ = self.describe(table, batch_id)
-        merged = replace(merged, origin=max(b.origin for b in run), clustered=clustered)
+        merged = replace(merged, origin=max(b.origin for b in run), clustered=clustered, runs=known)
         side = SIDE_TABLE.get(log)
         if side and manifest.state.get(side):
             # An attempt that died under this id must not become live.
@@ -438,7 +451,7 @@ class TelemetryStore:
         live = {b.batch_id for b in manifest.batches}
         table = LOG_TABLE[log]
         beside = PARTIAL_OF.get(table)
-        for folders in (table, *([beside, f"zones_{table}", f"zones_{beside}"] if beside else [])):
+        for folders in (table, *([beside, "runs", f"zones_{table}", f"zones_{beside}"] if beside else [])):
             for folder, batch_id, age in self._folders(folders):
                 if batch_id < manifest.next_id and batch_id not in live:
                     gone.append((folder, age))

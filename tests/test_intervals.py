@@ -1,0 +1,104 @@
+"""Runs of ids against sets of ids; loads that share some, all or none of them."""
+
+import random
+
+import pytest
+from model import at, frame, reading
+
+from fleetmetrics.operators import intervals
+from fleetmetrics.plans import jobs
+from fleetmetrics.sources.store import INGEST_LOG
+
+
+def runs_of(ids, gap):
+    found = []
+    for i in sorted(set(ids)):
+        if found and i - found[-1][1] <= gap:
+            found[-1][1] = i
+        else:
+            found.append([i, i])
+    return {tuple(r) for r in found}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_and_what_they_share(spark, seed):
+    chance, gap = random.Random(seed), 8
+    loads = [{m: chance.sample(range(1, 400), chance.randrange(1, 40)) for m in "ABC"[seed % 2 :]} for _ in range(2)]
+    loads[0]["X"], loads[1]["Y"] = [5, 6], [5, 6]
+    frames = [
+        intervals.id_runs(frame(spark, [reading(i, m, at("10:00:00")) for m in ids for i in ids[m]]), gap) for ids in loads
+    ]
+    for ids, made in zip(loads, frames, strict=True):
+        want = {(m, *r) for m in ids for r in runs_of(ids[m], gap)}
+        assert {tuple(r) for r in made.collect()} == want
+    covered = [{(m, i) for m in ids for low, high in runs_of(ids[m], gap) for i in range(low, high + 1)} for ids in loads]
+    shared = {(r.strMachineName, i) for r in intervals.shared_runs(*frames).collect() for i in range(r.nLow, r.nHigh + 1)}
+    assert shared == covered[0] & covered[1]
+    again = intervals.merged_runs(frames[0].unionByName(frames[1]), gap)
+    for m in set(loads[0]) | set(loads[1]):
+        held = [i for ids in loads for low, high in runs_of(ids.get(m, []), gap) for i in range(low, high + 1)]
+        assert {(r.nLow, r.nHigh) for r in again.filter(f"strMachineName = '{m}'").collect()} == runs_of(held, gap)
+
+
+def test_ranges_of_ids(spark):
+    runs = spark.createDataFrame([("A", 1, 5), ("B", 6, 9), ("A", 20, 30), ("B", 25, 40)], intervals.RUNS)
+    assert intervals.id_ranges(runs, 10) == [(1, 9), (20, 40)]
+    assert intervals.id_ranges(runs, 2) == [(1, 40)]
+    assert intervals.id_ranges(runs.limit(0), 2) == []
+
+
+def rows_of(spark, machine, ids):
+    return frame(spark, [reading(i, machine, at("10:00:00")) for i in ids])
+
+
+def append(store, rows, gap=4):
+    return jobs.append_raw(store, store.manifest(INGEST_LOG), rows, gap=gap)
+
+
+def opened(store, monkeypatch):
+    """The batches of raw that are opened from now on, other than those just written."""
+    seen, real = [], store.open
+
+    def spy(table, batches):
+        seen.extend(b.batch_id for b in batches if table == "raw" and not isinstance(b, int))
+        return real(table, batches)
+
+    monkeypatch.setattr(store, "open", spy)
+    return seen
+
+
+def test_disjoint_loads_read_no_batch(spark, store, monkeypatch):
+    append(store, rows_of(spark, "A", [1, 2, 3, 40, 41]))
+    seen = opened(store, monkeypatch)
+    assert append(store, rows_of(spark, "A", [10, 11, 12, 30])) == 4  # in the gap
+    assert append(store, rows_of(spark, "B", [1, 2, 3, 40])) == 4  # another machine
+    assert seen == []
+    plan = jobs._not_loaded(store, store.manifest(INGEST_LOG).batches, rows_of(spark, "A", [50, 51]), 4)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in text and "parquet" not in text
+    assert append(store, rows_of(spark, "A", [3, 4, 3])) == 1
+    assert 1 in seen
+    assert store.raw().count() == 14
+
+
+@pytest.mark.parametrize("merge", [False, True])
+def test_any_loads_end_as_the_set_of_their_keys(spark, store, merge):
+    chance, want = random.Random(7), set()
+    for n in range(6):
+        low = chance.randrange(60)
+        ids = {m: [low + chance.randrange(30) for _ in range(12)] for m in chance.sample("ABC", 2)}
+        load = [(i, m) for m in ids for i in ids[m]]
+        made = append(store, frame(spark, [reading(i, m, at("10:00:00")) for i, m in load]))
+        assert made == len(set(load) - want)
+        want |= set(load)
+        if merge and n == 3:
+            assert store.compact(INGEST_LOG, min_batches=2)
+            assert all(b.runs for b in store.manifest(INGEST_LOG).batches)
+    assert sorted((r.nSourceId, r.strMachineName) for r in store.raw().collect()) == sorted(want)
+
+
+def test_batches_without_runs_are_compared_whole(spark, store):
+    rows = rows_of(spark, "A", [1, 2, 9])
+    jobs.append_raw(store, store.manifest(INGEST_LOG), rows, numbered=True)
+    assert not store.manifest(INGEST_LOG).batches[0].runs
+    assert append(store, rows_of(spark, "A", [2, 3, 9, 12])) == 2
