@@ -166,6 +166,37 @@ early AS (SELECT * FROM cadence WHERE nSourceId <= (SELECT id FROM half)),
 {_refresh("one", "early", "no_control", "(SELECT max(dtInsert) FROM early)")},
 {_refresh("two", "cadence", "one_cursors", NOW)}"""
 
+LATE_METRICS = """
+SELECT * FROM two_metrics UNION ALL BY NAME
+SELECT * FROM one_metrics o WHERE NOT EXISTS (
+  SELECT 1 FROM two_metrics t WHERE t.strMachineName = o.strMachineName
+  AND t.dtWindowStart = o.dtWindowStart)"""
+
+LATE_VIEW = f"""
+late AS ({LATE_METRICS}),
+done_view AS (
+  SELECT {VIEW_COLUMNS} FROM late WHERE dtWindowStart >= {NOW} - INTERVAL 60 MINUTE),
+done_last AS (
+  SELECT * FROM done_view v WHERE NOT EXISTS (
+    SELECT 1 FROM done_view w WHERE w.Machine = v.Machine AND w.WindowStart > v.WindowStart))"""
+
+FLEET_KPIS = """
+SELECT CAST(sum(Records) AS BIGINT) AS TotalRecords, count(*) AS Windows,
+    count(DISTINCT Machine) AS Machines, max(ProcessingDate) AS LatestProcessing,
+    (SELECT count(*) FROM done_last WHERE TemperatureAlert) AS MachinesInAlert,
+    (SELECT count(*) FROM done_last WHERE TemperatureAlert) > 0 AS HasTemperatureAlert
+  FROM done_view"""
+
+MACHINE_KPIS = """
+SELECT v.Machine, CAST(sum(v.Records) AS BIGINT) AS TotalRecords,
+    count(*) AS Windows,
+    round(any_value(l.AverageCurrent), 6) AS AverageCurrent,
+    round(any_value(l.AverageVoltage), 6) AS AverageVoltage,
+    round(any_value(l.AverageTemperature), 6) AS AverageTemperature,
+    any_value(l.TemperatureAlert) AS TemperatureAlert,
+    any_value(l.ProcessingDate) AS ProcessingDate
+  FROM done_view v JOIN done_last l ON l.Machine = v.Machine GROUP BY v.Machine"""
+
 NIGHT = "(SELECT date_trunc('day', max(ts)) + INTERVAL 30 MINUTE FROM events)"
 
 # Readings of the second half whose window had ended by the watermark of the first.
@@ -350,13 +381,7 @@ def oracle_sql() -> dict[str, str]:
                FROM control c FULL JOIN run_cursors n ON n.strMachineName = c.strMachineName""",
             STATE,
         ),
-        "late_recompute": _query(
-            """SELECT * FROM two_metrics UNION ALL BY NAME
-               SELECT * FROM one_metrics o WHERE NOT EXISTS (
-                 SELECT 1 FROM two_metrics t WHERE t.strMachineName = o.strMachineName
-                 AND t.dtWindowStart = o.dtWindowStart)""",
-            LATE,
-        ),
+        "late_recompute": _query(LATE_METRICS, LATE),
         "metrics_last_period": _query(
             f"""SELECT {ROUND_VIEW} FROM done_view
                 WHERE WindowStart >= {NOW} - INTERVAL 60 MINUTE""",
@@ -391,25 +416,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "latest_per_machine": _query(f"SELECT {ROUND_VIEW} FROM done_last", DONE),
         "machines_in_alert": _query("SELECT Machine FROM done_last WHERE TemperatureAlert", HOT),
-        "fleet_kpis": _query(
-            """SELECT CAST(sum(Records) AS BIGINT) AS TotalRecords, count(*) AS Windows,
-                 count(DISTINCT Machine) AS Machines, max(ProcessingDate) AS LatestProcessing,
-                 (SELECT count(*) FROM done_last WHERE TemperatureAlert) AS MachinesInAlert,
-                 (SELECT count(*) FROM done_last WHERE TemperatureAlert) > 0 AS HasTemperatureAlert
-               FROM done_view""",
-            DONE,
-        ),
-        "machine_kpis": _query(
-            """SELECT v.Machine, CAST(sum(v.Records) AS BIGINT) AS TotalRecords,
-                 count(*) AS Windows,
-                 round(any_value(l.AverageCurrent), 6) AS AverageCurrent,
-                 round(any_value(l.AverageVoltage), 6) AS AverageVoltage,
-                 round(any_value(l.AverageTemperature), 6) AS AverageTemperature,
-                 any_value(l.TemperatureAlert) AS TemperatureAlert,
-                 any_value(l.ProcessingDate) AS ProcessingDate
-               FROM done_view v JOIN done_last l ON l.Machine = v.Machine GROUP BY v.Machine""",
-            DONE,
-        ),
+        "fleet_kpis": _query(FLEET_KPIS, DONE),
+        "machine_kpis": _query(MACHINE_KPIS, DONE),
+        "kept_fleet_kpis": _query(FLEET_KPIS, LATE, LATE_VIEW),
+        "kept_machine_kpis": _query(MACHINE_KPIS, LATE, LATE_VIEW),
         "metric_band_series": _query(
             " UNION ALL ".join(
                 _band(m, "85" if m == "Temperature" else "NULL") for m in MEASURES

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetmetrics.functions.values import rounded_int
 from fleetmetrics.operators import decode, fleet, hierarchy, ingest, latency, merge, partials, windows
-from fleetmetrics.plans import fixtures, jobs
+from fleetmetrics.plans import fixtures, jobs, views
 from fleetmetrics.schemas import BUFFER
 from fleetmetrics.session import scratch_folder
 from fleetmetrics.sources.message_log import append_segment, log_stream
@@ -382,6 +382,26 @@ def machine_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(fleet.machine_kpis(_view(spark, sf_dir)))
 
 
+def _kept_views(spark: SparkSession, sf_dir: str) -> views.PeriodViews:
+    """The last hour, kept after each of two refreshes, of which the second reopens windows."""
+    store = TelemetryStore.create(spark, scratch_folder(spark, "views"))
+    raw = fixtures.cadence(spark, sf_dir)
+    for part in (raw.filter(F.col("nSourceId") <= fixtures.half_way(raw)), raw):
+        jobs.append_raw(store, store.manifest(INGEST_LOG), part)
+        now = fixtures.latest_reading(part)
+        jobs.refresh_metrics(store, now)
+        views.keep_views(store)
+    return views.period_views(store, now, 60)
+
+
+def kept_machine_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_kept_views(spark, sf_dir).machine_kpis())
+
+
+def kept_fleet_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_views(spark, sf_dir).fleet_kpis()
+
+
 def metric_band_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(fleet.metric_band_series(_view(spark, sf_dir)))
 
@@ -558,6 +578,8 @@ CATALOGUE: tuple[Query, ...] = (
     machines_in_alert,
     fleet_kpis,
     machine_kpis,
+    kept_machine_kpis,
+    kept_fleet_kpis,
     metric_band_series,
     fleet_series,
     kpi_display,

@@ -28,6 +28,7 @@ from fleetmetrics.operators.fleet import last_period
 from fleetmetrics.operators.intervals import GAP, RUNS, id_runs, merged_runs
 from fleetmetrics.operators.merge import latest_metrics
 from fleetmetrics.operators.partials import PARTIALS, minute_partials, summed_partials
+from fleetmetrics.operators.views import HOURS, LATEST, newest_hours
 from fleetmetrics.schemas import BUFFER, CONTROL, METRICS, QUARANTINE, RAW
 from fleetmetrics.session import empty
 from fleetmetrics.sources.commits import Conflict, NumberedFiles
@@ -35,6 +36,7 @@ from fleetmetrics.sources.commits import Conflict, NumberedFiles
 READINGS_LOG = "readings"
 INGEST_LOG = "ingest"
 REFRESH_LOG = "refresh"
+VIEWS_LOG = "views"
 
 
 def _with(schema: T.StructType, *extra: tuple[str, T.DataType]) -> T.StructType:
@@ -55,11 +57,17 @@ TABLES = {
     "metrics": _with(METRICS, _BATCH, ("window_date", T.DateType())),
     "control": _with(CONTROL, _BATCH),
     "rejected": _with(QUARANTINE, _BATCH),
+    "hours": _with(HOURS, _BATCH, ("hour_date", T.DateType())),
+    "latest": _with(LATEST, _BATCH),
 }
-ID_COLUMN = {"buffer": "nId", "raw": "nSourceId", "partials": "nLastSourceId", "metrics": "nLastSourceId"}
-DATE_COLUMN = {"raw": "event_date", "partials": "event_date", "metrics": "window_date"}
-TIME_COLUMN = {"raw": "dtInsert", "partials": "dtMinute", "metrics": "dtWindowStart"}
-LOG_TABLE = {READINGS_LOG: "buffer", INGEST_LOG: "raw", REFRESH_LOG: "metrics"}
+ID_COLUMN = {"buffer": "nId", "raw": "nSourceId", "partials": "nLastSourceId", "metrics": "nLastSourceId", "hours": "nLastSourceId"}
+DATE_COLUMN = {"raw": "event_date", "partials": "event_date", "metrics": "window_date", "hours": "hour_date"}
+TIME_COLUMN = {"raw": "dtInsert", "partials": "dtMinute", "metrics": "dtWindowStart", "hours": "dtHour"}
+LOG_TABLE = {READINGS_LOG: "buffer", INGEST_LOG: "raw", REFRESH_LOG: "metrics", VIEWS_LOG: "hours"}
+# Of these the newest batch wins; the frame of newest rows.
+NEWEST = {"metrics": latest_metrics, "hours": newest_hours}
+# A small table that each batch of the log replaces as a whole.
+WHOLE_TABLE = {REFRESH_LOG: "control", VIEWS_LOG: "latest"}
 # Written beside a log's table under the same batch ids; every committed id is live.
 SIDE_TABLE = {READINGS_LOG: "staged", INGEST_LOG: "rejected"}
 
@@ -384,7 +392,7 @@ class TelemetryStore:
         """Merge a run of at least ``min_batches`` adjacent small batches into one.
 
         Large batches are left alone, so history is not rewritten each time. Of
-        the metrics log only the newest run is merged: there the newest batch
+        metrics and views only the newest run is merged: there the newest batch
         wins. Merged readings are clustered, with about ``file_rows`` in a file.
         When another writer has replaced part of the run meanwhile, nothing is
         changed. The log's own jobs call this after each commit with the
@@ -399,15 +407,15 @@ class TelemetryStore:
                 runs.append([])
             else:
                 runs[-1].append(batch)
-        if table == "metrics":
+        if table in NEWEST:
             runs = runs[-1:]
         run = next((r for r in runs if len(r) >= min_batches), None)
         if run is None:
             return False
         batch_id = self.claim(log, manifest)
         rows = self.open(table, tuple(run)).drop("batch_id", DATE_COLUMN.get(table, ""))
-        if table == "metrics":
-            rows = latest_metrics(self.open(table, tuple(run))).drop("batch_id", DATE_COLUMN[table])
+        if table in NEWEST:
+            rows = NEWEST[table](self.open(table, tuple(run)))
         clustered = table in PARTIAL_OF
         if clustered:
             self.write_clustered(table, rows, batch_id, -(-sum(b.rows for b in run) // file_rows))
@@ -434,14 +442,14 @@ class TelemetryStore:
                 return True
             except Conflict:
                 manifest = self.manifest(log)
-                # Of the metrics the merged batch would have to come before newer ones.
-                if not set(run) <= set(manifest.batches) or table == "metrics":
+                # Where the newest wins, the merged batch would have to come before newer ones.
+                if not set(run) <= set(manifest.batches) or table in NEWEST:
                     return False
 
     def expire(self, log: str, older_than: timedelta) -> list[str]:
         """Delete folders that no manifest names, once they are older than this.
 
-        These are batches replaced by compaction, control tables before the
+        These are batches replaced by compaction, control tables and newest windows before the
         newest, and the second copy of accepted readings that numbering needs.
         The age has to exceed the longest run of a reader. Call it from the
         log's writer. Returns what was deleted.
@@ -455,9 +463,10 @@ class TelemetryStore:
             for folder, batch_id, age in self._folders(folders):
                 if batch_id < manifest.next_id and batch_id not in live:
                     gone.append((folder, age))
-        if log == REFRESH_LOG:
-            newest = manifest.state.get("control", 0)
-            gone += [(f, age) for f, i, age in self._folders("control") if i < newest]
+        if log in WHOLE_TABLE:
+            whole = WHOLE_TABLE[log]
+            newest = manifest.state.get(whole, 0)
+            gone += [(f, age) for f, i, age in self._folders(whole) if i < newest]
         if log == READINGS_LOG:
             gone += [
                 (f"{f}/rejected=false", age)

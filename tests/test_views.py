@@ -1,0 +1,117 @@
+"""Kept views against the full queries, refresh by refresh."""
+
+import random
+from datetime import timedelta
+
+import pytest
+from model import at, frame, reading
+
+from fleetmetrics.operators import fleet
+from fleetmetrics.plans import jobs, views
+from fleetmetrics.sources.store import INGEST_LOG, REFRESH_LOG, VIEWS_LOG
+
+PERIODS = [1, 30, 60, 95, 360, 1440, 20_000]
+
+
+def rows_of(made):
+    return sorted((tuple(r) for r in made.collect()), key=repr)
+
+
+def check(store, now, period):
+    view, kept = store.period_view(now, period), views.period_views(store, now, period)
+    assert rows_of(kept.machine_kpis()) == rows_of(fleet.machine_kpis(view)), period
+    assert rows_of(kept.fleet_kpis()) == rows_of(fleet.fleet_kpis(view)), period
+    assert rows_of(kept.latest.select(*view.columns)) == rows_of(fleet.latest_per_machine(view)), period
+
+
+def load(store, rows):
+    jobs.append_raw(store, store.manifest(INGEST_LOG), frame(store.spark, rows))
+
+
+def test_kept_views_follow_ten_random_refreshes(spark, store):
+    chance, clock, number = random.Random(3), at("10:00:00"), 0
+    for step in range(10):
+        rows = []
+        for _ in range(chance.randint(1, 20)):
+            number += 1
+            machine = chance.choice(["A", "A", "B", f"N{step}"])
+            when = clock - timedelta(seconds=chance.choice([60, 200, 4000, 90_000]) + chance.randint(0, 100))
+            rows.append(reading(number, machine, when, chance.randint(60, 95)))
+        load(store, rows)
+        # Thresholds and clocks that go both ways lower alerts and processing times.
+        jobs.refresh_metrics(store, clock, threshold=chance.choice([70, 85, 94]), window_minutes=chance.choice([2, 2, 7]))
+        if step % 4 == 3:
+            store.compact(REFRESH_LOG, min_batches=2)
+            store.compact(VIEWS_LOG, min_batches=2)
+        if step != 5:  # two refreshes are caught up with at once
+            check(store, clock, chance.choice(PERIODS))
+        clock += timedelta(minutes=chance.choice([1, 5, 70, 800, -20]))
+    assert store.expire(VIEWS_LOG, timedelta(0))
+    check(store, clock, 20_000)
+
+
+def alerts(store, now):
+    return [r.Machine for r in views.period_views(store, now, 60).machines_in_alert().collect()]
+
+
+def test_a_lowered_alert_is_taken_back(spark, store):
+    now = at("10:30:00")
+    load(store, [reading(1, "A", at("10:10:00"), 88), reading(2, "B", at("10:10:00"), 95)])
+    jobs.refresh_metrics(store, now)
+    assert sorted(alerts(store, now)) == ["A", "B"]
+    load(store, [reading(3, "A", at("10:10:01"), 80), reading(4, "B", at("10:10:01"), 80)])
+    jobs.refresh_metrics(store, now, threshold=90)
+    assert alerts(store, now) == ["B"]
+    check(store, now, 60)
+
+
+def test_views_of_an_empty_store(spark, store):
+    kept = views.period_views(store, at("10:00:00"), 60)
+    assert kept.machine_kpis().collect() == []
+    assert tuple(kept.fleet_kpis().first()) == (0, 0, 0, None, 0, False)
+
+
+def test_keeping_twice_writes_nothing(spark, store):
+    load(store, [reading(1, "A", at("10:10:00"), 88)])
+    jobs.refresh_metrics(store, at("10:30:00"))
+    assert views.keep_views(store) == views.keep_views(store)
+
+
+def test_only_changed_days_and_full_hours_are_read(spark, store, monkeypatch):
+    for n, day in enumerate((1, 2, 3), start=1):
+        load(store, [reading(n, "A", at("10:10:00", day), 88)])
+        jobs.refresh_metrics(store, at("10:30:00", day))
+        views.keep_views(store)
+    read, real = [], store.open
+
+    def spy(table, batches):
+        read.extend((table, b.batch_id) for b in batches if not isinstance(b, int))
+        return real(table, batches)
+
+    monkeypatch.setattr(store, "open", spy)
+    made = views.period_views(store, at("11:00:00", 3), 60)
+    assert made.fleet_kpis().first().Windows == 1
+    assert [table for table, _ in read] == ["hours"]  # the period starts on a full hour
+    read.clear()
+    load(store, [reading(9, "A", at("10:10:01", 3), 88)])
+    jobs.refresh_metrics(store, at("10:40:00", 3))
+    read.clear()
+    views.keep_views(store)
+    newest = store.manifest(REFRESH_LOG).batches
+    assert {i for table, i in read if table == "metrics"} == {b.batch_id for b in newest[-2:]}
+
+
+@pytest.mark.parametrize("other", [1, 2])
+def test_two_keepers_end_alike(spark, store, monkeypatch, other):
+    load(store, [reading(1, "A", at("10:10:00"), 88)])
+    jobs.refresh_metrics(store, at("10:30:00"))
+    real, ran = store.commit, []
+
+    def commit(log, manifest):
+        if log == VIEWS_LOG and len(ran) < other:
+            ran.append(1)
+            views.keep_views(type(store)(spark, store.root)) if len(ran) == 1 else None
+        real(log, manifest)
+
+    monkeypatch.setattr(store, "commit", commit)
+    check(store, at("10:30:00"), 60)
