@@ -24,13 +24,19 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     spark = frame.sparkSession
     folder = scratch_folder(spark, label)
     frame.write.parquet(folder)
-    # What was shuffled for it is not needed again; Spark deletes it once collected.
-    spark._jvm.System.gc()
+    forget_shuffles(spark)
     made = spark.read.schema(frame.schema).parquet(folder)
     made._stored_in = folder
     return made
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """What was shuffled for ended queries is not needed again; Spark deletes it once collected."""
+    # Spark's listeners hold the last query that ended, and so its shuffle files, until another one ends.
+    spark.range(1).collect()
+    spark._jvm.System.gc()
+
+
 def release(*frames: DataFrame) -> None:
     """Deletes written intermediates that no later step reads."""
     for frame in frames:
