@@ -23,17 +23,18 @@ stays as initialised.
 """
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmetrics.llm.common import SLICE, blobs, map_batches, map_column, stored
+from fleetmetrics.llm.common import SLICE, map_batches, map_column, stored
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 OFFSETS = (-2, -1, 1, 2)
@@ -48,6 +49,7 @@ BATCH = 8192
 RATE = 0.1
 SEED = 11
 PIECES = 16
+TEXTS = 512
 HELD = 1 << 17
 FAN_IN = 256
 
@@ -77,64 +79,104 @@ def shaped(values: np.ndarray) -> Weights:
     return {n: p.reshape(s).copy() for (n, s), p in zip(SHAPES.items(), parts, strict=True)}
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, A-Z in lower case, and each text's number of words; null has none."""
+    # These kernels look at single bytes, so that texts need not be valid UTF-8.
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string()).fill_null("")))
+    words = lists.flatten().view(pa.binary())
+    filled = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+    before = np.concatenate([[0], np.cumsum(filled)])
+    sizes = np.diff(before[lists.offsets.to_numpy() - lists.offsets[0].as_py()])
+    return words.filter(pa.array(filled)), sizes
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what Arrow took for one is given back before the next."""
+    for batch in batches:
+        yield batch
+        pa.default_memory_pool().release_unused()
+
+
 class Vocabulary(dict):
     """Token numbers of frequent words; other words by a hash of their last three bytes."""
 
     def __init__(self, words: Sequence[bytes]):
         super().__init__({w: i + 1 for i, w in enumerate(words)})
+        self.words = pa.array(words, pa.binary())
 
     def __missing__(self, word: bytes) -> int:
         return 1 + WORDS + zlib.crc32(word[-3:]) % RARE
 
+    def tokens(self, words: pa.Array) -> np.ndarray:
+        numbers = places(words, self.words) + 1
+        other = numbers == PAD
+        ends = pc.binary_slice(words.filter(pa.array(other)), -3).dictionary_encode()
+        hashed = np.array([self.__missing__(end) for end in ends.dictionary.to_pylist()], dtype=np.int16)
+        numbers[other] = hashed[ends.indices.to_numpy()]
+        return numbers.astype(np.int16)
 
-def windows(vocabulary: Vocabulary, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, the tokens around each, and each text's number of tokens."""
+
+def places(words: pa.Array, listed: pa.Array) -> np.ndarray:
+    """Where each word stands in the list, or -1."""
+    return pc.index_in(words, value_set=listed).fill_null(-1).to_numpy().copy()
+
+
+def surroundings(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The tokens around each token of texts of these sizes."""
     reach = max(OFFSETS)
-    padding = [PAD] * reach
-    stream, sizes = list(padding), []
-    for text in texts:
-        words = text.translate(LOWER).split()
-        stream += [vocabulary[w] for w in words]
-        stream += padding
-        sizes.append(len(words))
-    tokens = np.array(stream, dtype=np.int16)
-    at = np.flatnonzero(tokens != PAD)
-    around = np.stack([tokens[at + o] for o in OFFSETS]) if len(at) else np.zeros((len(OFFSETS), 0), np.int16)
-    return tokens[at], around, np.array(sizes, dtype=np.int64)
+    at = np.arange(len(tokens)) + reach * (1 + np.repeat(np.arange(len(sizes)), sizes))
+    stream = np.full(len(tokens) + reach * (1 + len(sizes)), PAD, np.int16)
+    stream[at] = tokens
+    return np.stack([stream[at + o] for o in OFFSETS])
+
+
+def windows(vocabulary: Vocabulary, texts: Sequence[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, the tokens around each, and each text's number of tokens."""
+    words, sizes = words_of(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary()))
+    tokens = vocabulary.tokens(words)
+    return tokens, surroundings(tokens, sizes), sizes
 
 
 def log_softmax(raw: np.ndarray) -> np.ndarray:
     raw = raw - raw.max(axis=1, keepdims=True)
-    return raw - np.log(np.exp(raw).sum(axis=1, keepdims=True))
+    raw -= np.log(np.exp(raw).sum(axis=1, keepdims=True))
+    return raw
 
 
 def hidden(weights: Weights, around: np.ndarray) -> np.ndarray:
-    total = weights["context"][0][around[0]] + weights["bias"]
+    # Tokens are below TOKENS; "clip" spares the check of each.
+    total = weights["context"][0].take(around[0], axis=0, mode="clip") + weights["bias"]
     for side in range(1, len(OFFSETS)):
-        total += weights["context"][side][around[side]]
+        total += weights["context"][side].take(around[side], axis=0, mode="clip")
     return np.tanh(total, out=total)
 
 
-def by_class(tokens: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Each class that occurs, its rows, and their words within the class."""
+def by_class(tokens: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of the rows by class; each class that occurs, with its first and past row in that order."""
     group = (tokens // CLASSES).astype(np.int8)
-    order = np.argsort(group, kind="stable")
-    ends = np.cumsum(np.bincount(group, minlength=CLASSES))
-    for c, rows in enumerate(np.split(order, ends[:-1])):
-        if len(rows):
-            yield c, rows, tokens[rows] % CLASSES
+    past = np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
+    return np.argsort(group, kind="stable"), [(c, a, b) for c, (a, b) in enumerate(pairwise([0, *past])) if b > a]
+
+
+def within_class(weights: Weights, own: np.ndarray, spans: Sequence[tuple[int, int, int]]) -> np.ndarray:
+    """log_softmax over the words of each row's class."""
+    raw = np.empty((len(own), CLASSES), own.dtype)
+    for c, first, past in spans:
+        np.matmul(own[first:past], weights["words"][c], out=raw[first:past])
+        raw[first:past] += weights["word_bias"][c]
+    return log_softmax(raw)
 
 
 def log_probabilities(weights: Weights, tokens: np.ndarray, around: np.ndarray) -> np.ndarray:
     found = np.zeros(len(tokens))
     for at in range(0, len(tokens), BATCH):
         part = tokens[at : at + BATCH]
+        every = np.arange(len(part))
         h = hidden(weights, around[:, at : at + BATCH])
         classes = log_softmax(h @ weights["classes"] + weights["class_bias"])
-        logs = classes[np.arange(len(part)), part // CLASSES].astype(np.float64)
-        for c, rows, words in by_class(part):
-            raw = h[rows] @ weights["words"][c] + weights["word_bias"][c]
-            logs[rows] += log_softmax(raw)[np.arange(len(rows)), words]
+        logs = classes[every, part // CLASSES].astype(np.float64)
+        order, spans = by_class(part)
+        logs[order] += within_class(weights, h[order], spans)[every, part[order] % CLASSES]
         found[at : at + BATCH] = logs
     return found
 
@@ -142,9 +184,11 @@ def log_probabilities(weights: Weights, tokens: np.ndarray, around: np.ndarray)
 def gradients(weights: Weights, tokens: np.ndarray, around: np.ndarray) -> Weights:
     """Of the mean negative log-probability; the context's as (side, tokens, rows) parts."""
     n = len(tokens)
+    every = np.arange(n)
     h = hidden(weights, around)
-    error = np.exp(log_softmax(h @ weights["classes"] + weights["class_bias"]))
-    error[np.arange(n), tokens // CLASSES] -= 1
+    error = log_softmax(h @ weights["classes"] + weights["class_bias"])
+    np.exp(error, out=error)
+    error[every, tokens // CLASSES] -= 1
     error /= n
     back = error @ weights["classes"].T
     made: Weights = {
@@ -153,21 +197,27 @@ def gradients(weights: Weights, tokens: np.ndarray, around: np.ndarray) -> Weigh
         "words": np.zeros(SHAPES["words"], np.float32),
         "word_bias": np.zeros(SHAPES["word_bias"], np.float32),
     }
-    for c, rows, words in by_class(tokens):
-        own = h[rows]
-        error = np.exp(log_softmax(own @ weights["words"][c] + weights["word_bias"][c]))
-        error[np.arange(len(rows)), words] -= 1
-        error /= n
-        made["words"][c] = own.T @ error
-        made["word_bias"][c] = error.sum(axis=0)
-        back[rows] += error @ weights["words"][c].T
+    order, spans = by_class(tokens)
+    own = h[order]
+    error = within_class(weights, own, spans)
+    np.exp(error, out=error)
+    error[every, tokens[order] % CLASSES] -= 1
+    error /= n
+    more = np.empty_like(own)
+    for c, first, past in spans:
+        part = error[first:past]
+        made["words"][c] = own[first:past].T @ part
+        made["word_bias"][c] = part.sum(axis=0)
+        np.matmul(part, weights["words"][c].T, out=more[first:past])
+    back[order] += more
     back *= 1 - h * h
     made["bias"] = back.sum(axis=0)
     made["context"] = np.zeros(SHAPES["context"], np.float32)
     for side in range(len(OFFSETS)):
         order = np.argsort(around[side], kind="stable")
-        own, first = np.unique(around[side][order], return_index=True)
-        made["context"][side][own] = np.add.reduceat(back[order], first, axis=0)
+        ranked = around[side][order]
+        first = np.flatnonzero(np.diff(ranked, prepend=-1))
+        made["context"][side][ranked[first]] = np.add.reduceat(back.take(order, axis=0, mode="clip"), first, axis=0)
     return made
 
 
@@ -196,12 +246,10 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     part = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("times", T.LongType())])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts: Counter[bytes] = Counter()
-            for blob in blobs(batch.column(0)):
-                counts.update(blob.translate(LOWER).split())
-            columns = [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "times"])
+        for batch in released(batches):
+            slices = (batch.column(0).slice(at, TEXTS) for at in range(0, batch.num_rows, TEXTS))
+            counts = pc.value_counts(pa.chunked_array([words_of(s)[0] for s in slices], pa.binary()))
+            yield pa.RecordBatch.from_arrays(counts.flatten(), names=["word", "times"])
 
     counts = map_batches(docs.select(F.col(text).alias("text")), counted, part)
     total = counts.groupBy("word").agg(F.sum("times").alias("times"))
@@ -252,10 +300,9 @@ def train(docs: DataFrame, words: Sequence[bytes], text: str = "text", rounds: i
 
         def trained(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             known, descent = Vocabulary(words), Descent(shaped(start))
-            for batch in batches:
-                texts = blobs(batch.column(0))
-                for at in range(0, len(texts), 512):
-                    tokens, around, _ = windows(known, texts[at : at + 512])
+            for batch in released(batches):
+                for at in range(0, batch.num_rows, TEXTS):
+                    tokens, around, _ = windows(known, batch.column(0).slice(at, TEXTS))
                     descent.learn(tokens, around)
             if descent.seen:
                 parts = np.array_split(flat(descent.weights).astype(np.float64) * descent.seen, PIECES)
@@ -275,6 +322,12 @@ def train(docs: DataFrame, words: Sequence[bytes], text: str = "text", rounds: i
     return weights
 
 
+def totalled(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sum of each text's values."""
+    sums, ends = np.concatenate([[0.0], np.cumsum(values)]), np.cumsum(sizes)
+    return sums[ends] - sums[ends - sizes]
+
+
 SCORES = (
     T.StructField("n_tokens", T.LongType()),
     T.StructField("log_likelihood", T.DoubleType()),
@@ -288,56 +341,42 @@ def scored(
     """`keep`, n_tokens, log_likelihood and its mean; a row per document."""
 
     def made(column: pa.Array) -> Iterator[tuple]:
-        known, texts = Vocabulary(words), blobs(column)
-        for at in range(0, len(texts), 512):
-            tokens, around, sizes = windows(known, texts[at : at + 512])
-            sums = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, tokens, around))])
-            ends = np.cumsum(sizes)
-            for size, total in zip(sizes.tolist(), (sums[ends] - sums[ends - sizes]).tolist(), strict=True):
-                yield (size, total, total / size if size else None)
+        tokens, around, sizes = windows(Vocabulary(words), column)
+        totals = totalled(log_probabilities(weights, tokens, around), sizes)
+        for size, total in zip(sizes.tolist(), totals.tolist(), strict=True):
+            yield (size, total, total / size if size else None)
 
     return map_column(docs, text, SCORES, made, keep)
 
 
-class Shares(dict):
-    """Logarithms of the shares of frequent words; None for others."""
-
-    def __missing__(self, word: bytes) -> None:
-        return None
-
-
-def shares_held(total: DataFrame, shares: DataFrame, words: Sequence[bytes], most: int) -> Shares:
+def shares_held(total: DataFrame, shares: DataFrame, words: Sequence[bytes], most: int) -> dict[bytes, float]:
     """The shares of the most frequent words, 0 for those of the network's own tokens."""
     frequent = most_frequent(total, len(words) + most)[len(words) :]
     chosen = total.sparkSession.createDataFrame([(bytearray(w),) for w in frequent], "word binary")
     rows = shares.join(F.broadcast(chosen), "word").collect()
-    return Shares({bytes(r.word): r.share for r in rows} | {w: 0.0 for w in words})
+    return {bytes(r.word): r.share for r in rows} | {w: 0.0 for w in words}
 
 
-def _marked(docs: DataFrame, words: Sequence[bytes], weights: Weights, shares: Shares) -> DataFrame:
+def _marked(docs: DataFrame, words: Sequence[bytes], weights: Weights, shares: dict[bytes, float]) -> DataFrame:
     """row, kept, n_tokens, log_likelihood with the shares held, and the other words."""
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType()), T.StructField("others", T.ArrayType(T.BinaryType()))]
+    listed, logs = pa.array(shares.keys(), pa.binary()), np.array([*shares.values(), 0.0])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(words)
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                texts = blobs(part.column(0))
-                tokens, around, sizes = windows(known, texts)
-                sums = np.concatenate([[0.0], np.cumsum(log_probabilities(weights, tokens, around))])
-                ends = np.cumsum(sizes)
-                totals = sums[ends] - sums[ends - sizes]
-                others: list[bytes] = []
-                bounds = [0]
-                for row, text in enumerate(texts):
-                    own = text.translate(LOWER).split()
-                    found = [shares[w] for w in own]
-                    totals[row] += sum(f for f in found if f is not None)
-                    others += [w for w, f in zip(own, found, strict=True) if f is None]
-                    bounds.append(len(others))
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(others, pa.binary()))
-                columns = [*part.columns[1:], pa.array(sizes), pa.array(totals), lists]
+        for batch in released(batches):
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                found, sizes = words_of(part.column(0))
+                tokens = known.tokens(found)
+                around, ends = surroundings(tokens, sizes), np.concatenate([[0], np.cumsum(sizes)])
+                cuts = pairwise([*ends[:-1:SLICE], ends[-1]])
+                own = np.concatenate([log_probabilities(weights, tokens[a:b], around[:, a:b]) for a, b in cuts])
+                at_held = places(found, listed)  # -1, the last of `logs`, for the others
+                other = at_held < 0
+                bounds = np.concatenate([[0], np.cumsum(other)])[ends]
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), found.filter(pa.array(other)))
+                columns = [*part.columns[1:], pa.array(sizes), pa.array(totalled(own + logs[at_held], sizes)), lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "kept", "n_tokens", "log_likelihood", "others"])
 
     schema = T.StructType([*docs.select("row", "kept").schema.fields, *fields])
