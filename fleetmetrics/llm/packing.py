@@ -16,48 +16,58 @@ when a task is repeated; sequence ids are unique, not consecutive.
 import json
 import re
 from collections.abc import Iterable, Iterator, Sequence
-from struct import pack as pack_ids
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
-from fleetmetrics.llm.common import held, map_column, ship, shuffle_partitions, stored, texts
+from fleetmetrics.llm.common import held, map_batches, ship, shuffle_partitions, stored
 
 WINDOW = 2048
 END = 1
 BLOCK = 1 << 18
-CACHE = 1 << 19
-GROUP = 128
+CACHE = 1 << 20
+GROUP = 1 << 22
 LONGS = ("start", "length", "ids_crc32", "doc_tokens")
 
 
+def joined(offsets: pa.Array, values: pa.Array) -> pa.Array:
+    """The values of each list, one after the other, as one value."""
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, values), b"")
+
+
 class WordTokens:
-    """Token ids of texts, as little-endian 32-bit bytes, from parts seen before.
+    """Token ids of texts, as little-endian 32-bit bytes, from words seen before.
 
     The tokenizer drops white space, cuts the rest into words of letters, single
     digits and runs of other signs, and never joins what it has cut. A text's
-    ids are therefore those of its parts between spaces and line ends, and a
-    part's ids those of its words. Both are looked up; only new words are
-    encoded. A part with signs outside PLAIN, which another Unicode table might
-    class, compose or lower-case otherwise, or that may hold a special token, is
-    encoded as it is. A tokenizer of another kind is refused.
+    ids are therefore those of its parts between white space, and a part's ids
+    those of its words. Arrow splits texts, cuts the different parts of a group
+    of texts and puts ids together; the different words of a group are looked up,
+    and only new ones are encoded. A part with signs outside PLAIN, which another
+    Unicode table might class, compose or lower-case otherwise, or that may hold a
+    special token, is encoded as it is. A tokenizer of another kind is refused.
     """
 
     # How the tokenizer normalises and cuts text, and the mark that
     # its last token of a word carries.
     NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
     WORD = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+    BYTES = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
     LAST = "</w>"
-    CUT = regex.compile(WORD)
     # Signs that all Unicode tables agree on: ASCII, composed Latin letters that
     # lower-case to one letter, basic Cyrillic, dashes and quotation marks.
-    PLAIN = re.compile("[\x00-\x7f\u00c0-\u012f\u0131-\u024f\u0410-\u044f\u2010-\u201f]*")
+    PLAIN = r"\x00-\x7f\u00c0-\u012f\u0131-\u024f\u0410-\u044f\u2010-\u201f"
+    PLAIN_WORD = re.compile(f"[{PLAIN}]*")
+    # For Arrow: what makes a part be encoded as it is, and the words that are no runs of letters.
+    ODD = "[^" + re.sub(r"\\[xu](\w+)", r"\\x{\1}", PLAIN) + r"]|<\|"
+    SIGNS = WORD.replace("[\\p{L}]+|", "").replace("\\s", r"\t-\r ")
 
     def __init__(self, path: str):
         self.check(path)
@@ -65,88 +75,83 @@ class WordTokens:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(self.LAST)]] = True
-        self.parts: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
+        # The same model for words that are normalised and cut already.
+        self.model = Tokenizer(self.tokenizer.model)
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), level])
+        self.words: dict[str, bytes] = {"": b""}
 
     def check(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
             found = json.load(file)
         steps = (found.get("normalizer") or {}).get("normalizers")
-        split = ((found.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        split, *level = (found.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         words = split.get("pattern") == {"Regex": self.WORD} and split.get("behavior") == "Removed" and split.get("invert")
+        words = words and len(level) == 1 and self.BYTES.items() <= level[0].items()
         marked = found["model"].get("end_of_word_suffix") == self.LAST
         special = all("<|" in t["content"] and not t["lstrip"] and not t["rstrip"] for t in found.get("added_tokens", []))
         if steps != self.NORMALIZER or not words or not marked or not special:
             raise ValueError(f"{path}: not a tokenizer of words with marked ends")
 
-    def cut(self, part: str) -> list[str] | None:
-        """The words of a part, or None if it has to be encoded as it is."""
-        if not part.isascii() and not self.PLAIN.fullmatch(part):
-            return None
-        if part.isalpha():
-            return [part.lower()]
-        return self.CUT.findall(part.lower()) if "<|" not in part else None
-
-    def ids(self, text: str) -> np.ndarray:
+    @staticmethod
+    def ids(tokenizer: Tokenizer, text: str) -> np.ndarray:
         # Without offsets, which nobody asks for.
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-
-    def learn_words(self, words: Iterable[str]) -> None:
-        """Printable ASCII words are what the tokenizer hands to its model. Of others many
-        are put in one text: their ids end at the tokens that end words."""
-        tokenize, new = self.tokenizer.model.tokenize, []
-        for word in words:
-            if word.isascii() and word.isprintable():
-                ids = [token.id for token in tokenize(word)]
-                self.words[word] = pack_ids(f"<{len(ids)}I", *ids)
-            else:
-                new.append(word)
-        for at in range(0, len(new), 200):
-            some = new[at : at + 200]
-            ids = self.ids(" ".join(some))
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def learn(self, new: Iterable[str]) -> None:
+        """Many plain words are put in one text: their ids end at the tokens that end words."""
+        plain, single = [], []
+        for word in new:
+            (plain if self.PLAIN_WORD.fullmatch(word) and "<|" not in word else single).append(word)
+        for at in range(0, len(plain), 200):
+            some = plain[at : at + 200]
+            ids = self.ids(self.model, " ".join(some))
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             raw = ids.tobytes()
             if len(ends) == len(some):
                 for word, start, end in zip(some, [0, *ends], ends, strict=False):
                     self.words[word] = raw[start:end]
             else:
-                self.words |= {w: self.ids(w).tobytes() for w in some}
-
-    def learn(self, wanted: set[str]) -> None:
-        """Ids of those parts that are not known; afterwards all of them are."""
-        parts = wanted.difference(self.parts)
-        if len(self.parts) + len(parts) > CACHE:
-            self.parts, parts = {"": b""}, wanted
-        if len(self.words) > CACHE:
-            self.words = {}
-        known, words, new = self.parts, self.words, set()
-        single: list[tuple[str, str]] = []
-        several: list[tuple[str, list[str]]] = []
-        for part in parts:
-            if part.isascii() and part.isalpha():
-                word = part.lower()
-                single.append((part, word))
-                if word not in words:
-                    new.add(word)
-                continue
-            found = self.cut(part)
-            if found is None:
-                known[part] = self.ids(part).tobytes()
-            else:
-                several.append((part, found))
-                new.update([w for w in found if w not in words])
-        self.learn_words(new)
-        for part, word in single:
-            known[part] = words[word]
-        for part, found in several:
-            known[part] = words[found[0]] if len(found) == 1 else b"".join([words[w] for w in found])
+                single += some
+        for word in single:
+            self.words[word] = self.ids(self.tokenizer, word).tobytes()
+
+    def word_ids(self, column: pa.Array) -> pa.Array:
+        """Ids of different words, and of parts that are encoded as they are."""
+        words = column.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.words.get, words))
+        new = [w for w, ids in zip(words, found, strict=True) if ids is None]
+        if new:
+            if len(self.words) + len(new) > CACHE:
+                self.words, new = {"": b""}, [w for w in words if w]
+            self.learn(new)
+            found = list(map(self.words.__getitem__, words))
+        return pa.array(found, pa.binary())
+
+    def part_ids(self, parts: pa.Array) -> pa.Array:
+        """Ids of different parts without white space."""
+        cut = pc.replace_substring_regex(pc.utf8_lower(parts), self.SIGNS, r" \0 ")
+        words = pc.ascii_split_whitespace(pc.if_else(pc.match_substring_regex(parts, self.ODD), parts, cut))
+        coded = words.flatten().dictionary_encode()
+        return joined(words.offsets, self.word_ids(coded.dictionary).take(coded.indices))
+
+    def text_ids(self, column: pa.Array) -> pa.Array:
+        """Ids of each text; null is empty."""
+        parts = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+        coded = parts.flatten().dictionary_encode()
+        return joined(parts.offsets, self.part_ids(coded.dictionary).take(coded.indices))
 
     def encode(self, batch: Sequence[str]) -> Iterator[bytes]:
-        for at in range(0, len(batch), GROUP):
-            split = [t.replace("\n", " ").split(" ") for t in batch[at : at + GROUP]]
-            self.learn(set().union(*split))
-            known = self.parts.__getitem__
-            yield from [b"".join(map(known, parts)) for parts in split]
+        column = pa.array(batch, pa.string())
+        for start, end in groups(column):
+            yield from self.text_ids(column.slice(start, end - start)).to_pylist()
+
+
+def groups(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Start and end of neighbouring texts of about GROUP bytes together; longer ones are alone or last."""
+    passed = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // GROUP
+    bounds = [0, *(np.flatnonzero(np.diff(passed)) + 1).tolist(), len(column)]
+    return pairwise(bounds) if len(column) else iter(())
 
 
 def encoder(path: str) -> WordTokens:
@@ -162,13 +167,20 @@ def tokenized(
     Python gives each document's ids, the end id added, as one value; full windows
     and the tail are cut from it here.
     """
-    end = np.uint32(END).tobytes()
-
-    def made(column: pa.Array) -> Iterator[tuple[bytes]]:
-        return ((ids + end,) for ids in encoder(tokenizer).encode(texts(column)))
+    end = pa.scalar(np.uint32(END).tobytes())
+    apart = pa.scalar(b"")
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to in groups(batch.column("text")):
+                part = batch.slice(at, to - at)
+                ids = encoder(tokenizer).text_ids(part.column("text"))
+                ended = pc.binary_join_element_wise(ids, end, apart)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ended], names=["doc_id", "all"])
+                pa.default_memory_pool().release_unused()
 
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    whole = map_column(own, "text", [T.StructField("all", T.BinaryType())], made, ["doc_id"])
+    whole = map_batches(own, made, T.StructType([own.schema["doc_id"], T.StructField("all", T.BinaryType())]))
     tokens = (F.octet_length("all") / 4).cast("long")
     starts = F.sequence(F.lit(0).cast("long"), tokens - 1, F.lit(window).cast("long"))
 
